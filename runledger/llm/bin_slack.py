@@ -3,7 +3,7 @@
 Every document is encoded, closed with an end token and, if longer than a
 sequence, cut so that only its first piece may be short. Pieces are counted by
 length: at most ``capacity`` lengths exist, whatever the corpus, so this histogram
-is all that reaches the driver. There bins are planned one pattern at a time:
+is all that reaches the driver. There bins are planned a pattern at a time:
 the longest length still available opens the bin, and a subset-sum programme over
 bitsets of reachable fills finds the fullest combination of the lengths that are
 left, each as often as it is available. The pattern is taken as many times as
@@ -30,6 +30,8 @@ from pyspark.sql import functions as F
 from .common import checkpointed, partitions, table
 
 CAPACITY, END_ID = 1024, 2
+#: Slacks that a bin may be left with while planning; the plan with the fewest bins is taken.
+SLACKS = (0, 1, 2, 3, 4, 6, 8, 12, 16, 24, 32)
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 SPECIAL = "<|endoftext|>"  # fixed value: the vocabulary's only special string, id 50256
 SPECIAL_ID = 50256
@@ -86,8 +88,12 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
     return docs.select("doc_id", "text").mapInPandas(run, PIECES)
 
 
-def fullest(available: dict[int, int], capacity: int) -> dict[int, int]:
-    """The longest length available, and with it the combination that leaves the least slack."""
+def fullest(available: dict[int, int], capacity: int, slack: int = 0) -> dict[int, int]:
+    """The longest length available, and with it the combination that leaves the least slack.
+
+    Lengths join in descending order, and the search ends as soon as no more
+    than ``slack`` is left, which saves the short ones for later bins.
+    """
     lengths = sorted(available, reverse=True)
     bin_ = {lengths[0]: 1}
     room = capacity - lengths[0]
@@ -107,7 +113,7 @@ def fullest(available: dict[int, int], capacity: int) -> dict[int, int]:
         if now != reach[-1]:
             reach.append(now)
             used.append(length)
-        if now >> room & 1:
+        if now >> max(0, room - slack):
             break
     fill = reach[-1].bit_length() - 1
     for k in range(len(used) - 1, -1, -1):
@@ -118,11 +124,24 @@ def fullest(available: dict[int, int], capacity: int) -> dict[int, int]:
 
 
 def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, dict[int, int]]]:
-    """``(times, {length: copies})`` until nothing is left."""
+    """``(times, {length: copies})`` until nothing is left: the best plan of some admitted slacks."""
+    least = -(-sum(length * n for length, n in histogram.items()) // capacity)
+    best, fewest = [], None
+    for slack in SLACKS:
+        found = _plan(histogram, capacity, slack)
+        bins = sum(times for times, _ in found)
+        if fewest is None or bins < fewest:
+            best, fewest = found, bins
+        if fewest == least:
+            break
+    return best
+
+
+def _plan(histogram: dict[int, int], capacity: int, slack: int) -> list[tuple[int, dict[int, int]]]:
     left = {length: n for length, n in histogram.items() if n}
     out = []
     while left:
-        pattern = fullest(left, capacity)
+        pattern = fullest(left, capacity, slack)
         times = min(left[length] // copies for length, copies in pattern.items())
         out.append((times, pattern))
         for length, copies in pattern.items():
