@@ -5,34 +5,35 @@ times the input. Here each task gathers documents into blocks of a bounded
 number of tokens, sorts the distinct 64-bit keys of a block once, and sends
 them as packed arrays, one row per (block, key range). Each key range is
 summed in one group, and the totals return to the blocks that asked, aligned
-with the keys they sent. The block's own text travels beside them as packed
-token numbers. Spark does the partitioning and both shuffles; keys are spread
-by hash, so a frequent word or passage weighs no more than one entry a block.
-
-Block numbers come from the partition number and a counter, so a task that
-runs again after a lost executor makes the same blocks (input read from files,
-or any other input whose partitions are the same when computed again).
+with the keys they sent. There they meet the block's own text, packed as token
+numbers by a second reading of the input, so that text is shuffled only once.
+Spark does the partitioning and both shuffles; keys are spread by hash, so a
+frequent word or passage weighs no more than one entry a block.
+
+Block numbers come from the partition number, a counter and a checksum of the ids.
+The input's partitions must be the same whenever they are computed, as they are for
+files; then a task that runs again after a lost executor makes the same blocks. If
+the two readings differed, a block would lack its text or its totals, which raises.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import xxhash
 import zstandard
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .common import partitions
 
 #: Tokens in a block; a single longer document is a block by itself.
 BLOCK_TOKENS = 1_000_000
-#: Bytes of a block's packed text in one row.
-PIECE_BYTES = 48_000
-
 ROWS = "block long, shard int, kind int, part int, a binary, b binary"
+COLUMNS = ["block", "shard", "kind", "part", "a", "b"]
 KEYS, REPLY, TEXT = 0, 1, 2
 
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
@@ -122,11 +123,12 @@ def _unpack_sorted(data: bytes) -> np.ndarray:
 
 def _pack_counts(counts: np.ndarray) -> bytes:
     kind = "<u4" if counts.max(initial=0) < 1 << 32 else "<u8"
-    return bytes([np.dtype(kind).itemsize]) + _planes(counts.astype(kind))
+    packed = zstandard.ZstdCompressor(level=1).compress(_planes(counts.astype(kind)))
+    return bytes([np.dtype(kind).itemsize]) + packed
 
 
 def _unpack_counts(data: bytes) -> np.ndarray:
-    return _unplanes(data[1:], f"<u{data[0]}").astype(np.int64)
+    return _unplanes(zstandard.ZstdDecompressor().decompress(data[1:]), f"<u{data[0]}").astype(np.int64)
 
 
 def _edges(shards: int) -> np.ndarray:
@@ -179,46 +181,54 @@ def exchange(
     spark = docs.sparkSession
     shards = 4 * partitions(spark)
 
+    def numbered(frames: Iterator[pd.DataFrame]) -> Iterator[tuple[int, Block]]:
+        frames = iter(frames)
+        head = next((f for f in frames if len(f)), None)
+        if head is None:
+            return
+        partition = int(head["partition"].iloc[0])
+        for n, block in enumerate(_blocks(itertools.chain([head], frames), end)):
+            name = np.array([partition, n], "<i8").tobytes() + block.ids.tobytes()
+            yield xxhash.xxh3_64_intdigest(name) >> 1, block
+
     def send(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        first = TaskContext.get().partitionId() << 32
-        for number, block in enumerate(_blocks(frames, end)):
+        for number, block in numbered(frames):
             k, c = keys(block)
             cuts = [0, *np.searchsorted(k, _edges(shards)).tolist(), len(k)]
             rows = [
-                (first + number, s, KEYS, 0, _pack_sorted(k[i:j]), _pack_counts(c[i:j]))
+                (number, s, KEYS, 0, _pack_sorted(k[i:j]), _pack_counts(c[i:j]))
                 for s, (i, j) in enumerate(zip(cuts, cuts[1:], strict=False))
             ]
-            data = block.pack()
-            rows += [
-                (first + number, (first + number * 7919 + p) % shards, TEXT, p, data[at : at + PIECE_BYTES], b"")
-                for p, at in enumerate(range(0, len(data), PIECE_BYTES))
-            ]
-            yield pd.DataFrame(rows, columns=["block", "shard", "kind", "part", "a", "b"])
+            yield pd.DataFrame(rows, columns=COLUMNS)
+
+    def bring(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for number, block in numbered(frames):
+            yield pd.DataFrame([(number, -1, TEXT, 0, block.pack(), b"")], columns=COLUMNS)
 
     def total(group: pd.DataFrame) -> pd.DataFrame:
-        asked = group[group["kind"] == KEYS]
-        sent = [_unpack_sorted(x) for x in asked["a"]]
-        counts = np.concatenate([_unpack_counts(x) for x in asked["b"]]) if len(sent) else np.empty(0, np.int64)
-        distinct, place = np.unique(np.concatenate(sent) if sent else np.empty(0, np.uint64), return_inverse=True)
+        sent = [_unpack_sorted(x) for x in group["a"]]
+        counts = np.concatenate([_unpack_counts(x) for x in group["b"]])
+        distinct, place = np.unique(np.concatenate(sent), return_inverse=True)
         totals = np.zeros(len(distinct), np.int64)
         np.add.at(totals, place, counts)
         odd = totals[(distinct & np.uint64(1)).astype(bool)]
         stats = np.array([odd.sum(), (odd > 0).sum()], "<i8").tobytes()
         cuts = np.cumsum([0, *map(len, sent)])
-        replies = asked.assign(
-            kind=REPLY, part=asked["shard"], a=[_pack_counts(totals[place[i:j]]) for i, j in zip(cuts, cuts[1:], strict=False)], b=stats
-        )
-        return pd.concat([replies, group[group["kind"] == TEXT]])
+        replies = [_pack_counts(totals[place[i:j]]) for i, j in zip(cuts, cuts[1:], strict=False)]
+        return group.assign(kind=REPLY, part=group["shard"], a=replies, b=stats)
 
     def close(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("part")
         text, reply = group[group["kind"] == TEXT], group[group["kind"] == REPLY]
-        block = Block.unpack(b"".join(text["a"]))
+        if len(text) != 1 or len(reply) != shards:
+            raise RuntimeError("the input's partitions changed between two readings; checkpoint it first")
+        block = Block.unpack(text["a"].iloc[0])
         stats = np.array([np.frombuffer(x, "<i8") for x in reply["b"]]).sum(axis=0)
         k, _ = keys(block)
         totals = np.concatenate([_unpack_counts(x) for x in reply["a"]])
         return finish(block, k, totals, (int(stats[0]), int(stats[1])))
 
-    sent = docs.select("id", "no_id", "flag", "text").mapInPandas(send, ROWS)
-    replied = sent.groupBy("shard").applyInPandas(total, ROWS)
-    return replied.groupBy("block").applyInPandas(close, schema)
+    docs = docs.select("id", "no_id", "flag", "text", F.spark_partition_id().alias("partition"))
+    replied = docs.mapInPandas(send, ROWS).groupBy("shard").applyInPandas(total, ROWS)
+    both = replied.unionByName(docs.mapInPandas(bring, ROWS))
+    return both.groupBy("block").applyInPandas(close, schema)

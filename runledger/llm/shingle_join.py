@@ -99,7 +99,7 @@ def overlap_bound(n_a: int, bits_a: bytes, n_b: int, bits_b: bytes) -> int:
 
 
 def document_sets(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """One row per document; ``hashes`` and the rest are null where the document must be alone."""
+    """One row per document; ``fp`` names a set that may link, ``hashes`` and the rest come with its smallest id in a block."""
 
     def keys(block: Block):
         return np.unique(_sets(block, words)[0] & _COUNTED, return_counts=True)
@@ -107,19 +107,25 @@ def document_sets(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -
     def finish(block: Block, k, totals, _stats):
         flat, ends = _sets(block, words)
         frequency = totals[np.searchsorted(k, flat & _COUNTED)] if len(flat) else np.empty(0, np.int64)
-        rows, i = [], 0
-        for doc, known, j in zip(block.ids.tolist(), block.known.tolist(), ends.tolist(), strict=True):
+        cuts = [0, *ends.tolist()]
+        spans = list(zip(block.ids.tolist(), block.known.tolist(), cuts, ends.tolist(), strict=False))
+        names, least = [], {}
+        for doc, known, i, j in spans:
+            linkable = j > i and known and int((frequency[i:j] > 1).sum()) >= _need(j - i, percent)
+            names.append(xxhash.xxh3_128_hexdigest(flat[i:j].astype("<u8").tobytes()) if linkable else None)
+            if linkable:
+                least[names[-1]] = min(doc, least.get(names[-1], doc))
+        rows = []
+        for (doc, known, i, j), name in zip(spans, names, strict=True):
             one, f, n = flat[i:j], frequency[i:j], j - i
-            i = j
-            shared = int((f > 1).sum())
-            if not n or not known or shared < _need(n, percent):
-                rows.append((doc if known else None, n, None, None, None, None, None))
+            if name is None or least.get(name) != doc:  # alone, or not the one that stands for its set
+                rows.append((doc if known else None, n, name, None, None, None, None))
                 continue
+            del least[name]
             order = np.lexsort((one, f))[: n - _need(n, percent) + 1]
             order = order[f[order] > 1]
-            data = one.astype("<u8").tobytes()
             leaders = [int(mix(one * m).min().view(np.int64)) for m in _LEADERS]
-            rows.append((doc, n, xxhash.xxh3_128_hexdigest(data), data, one[order].view(np.int64).tolist(), leaders, bitmap(one)))
+            rows.append((doc, n, name, one.astype("<u8").tobytes(), one[order].view(np.int64).tolist(), leaders, bitmap(one)))
         frame = pd.DataFrame(rows, columns=["doc_id", "n_shingles", "fp", "hashes", "prefix", "leaders", "bits"])
         return frame.astype({"doc_id": "Int64"})
 
@@ -167,15 +173,12 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``docs``."""
     rows = checkpointed(document_sets(docs, words, percent))
-    held = rows.filter("fp is not null")
-    reps = held.groupBy("fp").agg(F.min("doc_id").alias("rep"))
-    first = held.join(reps, "fp").filter("doc_id = rep").dropDuplicates(["fp"])
-    sets = checkpointed(first.select("rep", F.col("n_shingles").alias("n"), "hashes", "prefix", "leaders", "bits"))
-    return _joined(rows, reps, sets, percent)
+    reps = checkpointed(rows.filter("fp is not null").groupBy("fp").agg(F.min("doc_id").alias("rep")))
+    # The arrays stay where they are; only what a step needs is moved.
+    sets = rows.filter("hashes is not null").select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "*")
+    mine = ["fp", "rep"]
 
-
-def _joined(rows: DataFrame, reps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    by_leader = sets.select("rep", F.explode("leaders").alias("key"))
+    by_leader = sets.select("rep", "fp", "leaders").join(reps, mine).select("rep", F.explode("leaders").alias("key"))
     leader = by_leader.groupBy("key").agg(F.min("rep").alias("a"))
     stars = by_leader.join(leader, "key").filter("rep <> a").select("a", F.col("rep").alias("b")).distinct()
     links = checkpointed(_verified(stars, sets, percent))
@@ -183,7 +186,8 @@ def _joined(rows: DataFrame, reps: DataFrame, sets: DataFrame, percent: int) ->
 
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)) + 1e-9).cast("int")
     posted = (
-        sets.select("rep", "n", "prefix", band.alias("band"))
+        sets.select("rep", "fp", "n", "prefix", band.alias("band"))
+        .join(reps, mine)
         .join(first, "rep", "left")
         .withColumn("component", F.coalesce("component", "rep"))
         .select("rep", "n", "component", "band", F.explode("prefix").alias("shingle"))
