@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from . import block_counts
 from .block_counts import Block, mix
-from .common import table
+from .common import nullable, table, whole_ids
 
 END = b"\n"  # holds white space, so no word equals it
 
@@ -136,7 +136,7 @@ def score(docs: DataFrame, order: int = 2, strength: tuple[float, ...] = STRENGT
         at = block.starts
         return pd.DataFrame(
             {
-                "doc_id": pd.array(block.ids, "Int64"),
+                "doc_id": nullable(block.ids, block.known == 0),
                 "held_out": block.flags == 1,
                 "n_tokens": np.diff(block.ends, prepend=0),
                 "n_known": np.add.reduceat((model.arc[0] > 0).astype(np.int64), at),
@@ -145,14 +145,13 @@ def score(docs: DataFrame, order: int = 2, strength: tuple[float, ...] = STRENGT
                 "score": np.add.reduceat(got, at),
                 "n_backoffs": np.add.reduceat(failed, at),
             }
-        ).assign(doc_id=lambda x: x["doc_id"].mask(block.known == 0))
+        )
 
     rows = docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"),
-        F.col("doc_id").isNull().alias("no_id"),
+        *whole_ids("doc_id"),
         held_out(F.col("doc_id")).cast("int").alias("flag"),
         "text",
-    )
+    ).withColumnRenamed("doc_id", "id")
     return block_counts.exchange(rows, keys, finish, SCHEMA, end=END)
 
 

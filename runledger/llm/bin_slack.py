@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import checkpointed, partitions, table
+from .common import checkpointed, nullable, partitions, table, whole_ids
 
 CAPACITY, END_ID = 1024, 2
 #: Slacks that a bin may be left with while planning; the plan with the fewest bins is taken.
@@ -78,14 +78,14 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
         encode = encoder(path)
         for f in frames:
             rows = []
-            for doc, text in zip(f["doc_id"].astype("Int64").tolist(), f["text"], strict=True):
+            for doc, no_id, text in zip(f["doc_id"], f["no_id"], f["text"], strict=True):
                 ids = np.array([*encode(text), END_ID], "<u4")
                 for k, (start, length) in enumerate(cut(len(ids), capacity)):
-                    rows.append((doc, k, start, length, zlib.crc32(ids[start : start + length].tobytes())))
-            out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
-            yield out.astype({"doc_id": "Int64"})
+                    rows.append((doc, no_id, k, start, length, zlib.crc32(ids[start : start + length].tobytes())))
+            out = pd.DataFrame(rows, columns=["doc_id", "no_id", "piece", "start", "length", "ids_crc32"])
+            yield out.assign(doc_id=nullable(out["doc_id"], out["no_id"])).drop(columns="no_id")
 
-    return docs.select("doc_id", "text").mapInPandas(run, PIECES)
+    return docs.select(*whole_ids("doc_id"), "text").mapInPandas(run, PIECES)
 
 
 def fullest(available: dict[int, int], capacity: int, slack: int = 0) -> dict[int, int]:

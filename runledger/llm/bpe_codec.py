@@ -29,7 +29,7 @@ import pandas as pd
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import table
+from .common import nullable, table, whole_ids
 
 #: Entries in each of a worker's two memos (words as they stand, pieces of them); one starts afresh when full.
 MEMO = 300_000
@@ -266,9 +266,10 @@ def encode(docs: DataFrame, path: str, id_column: str = "doc_id", text_column: s
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         c = codec(path)
         for f in frames:
-            yield pd.DataFrame({id_column: f[id_column].astype("Int64"), "ids": [np.array(c.encode(t), np.int32) for t in f[text_column]]})
+            ids = nullable(f[id_column], f["no_id"])
+            yield pd.DataFrame({id_column: ids, "ids": [np.array(c.encode(t), np.int32) for t in f[text_column]]})
 
-    return docs.select(id_column, text_column).mapInPandas(run, f"{id_column} long, ids array<int>")
+    return docs.select(*whole_ids(id_column), text_column).mapInPandas(run, f"{id_column} long, ids array<int>")
 
 
 def digests(docs: DataFrame, path: str) -> DataFrame:
@@ -282,11 +283,11 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
                 ids = np.array(c.encode(text), "<u4")
                 rows.append((len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256(c.decode(ids).encode()).hexdigest()))
             out = pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
-            out.insert(0, "doc_id", f["doc_id"].astype("Int64").array)
+            out.insert(0, "doc_id", nullable(f["doc_id"], f["no_id"]))
             yield out
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return docs.select("doc_id", "text").mapInPandas(run, schema)
+    return docs.select(*whole_ids("doc_id"), "text").mapInPandas(run, schema)
 
 
 def op3_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:

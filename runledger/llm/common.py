@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -12,6 +14,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def whole_ids(name: str) -> list[Column]:
+    """An id column and where it is null, apart: with nulls in it, pandas would hold it as floats."""
+    return [F.coalesce(F.col(name).cast("long"), F.lit(0).cast("long")).alias(name), F.col(name).isNull().alias("no_id")]
+
+
+def nullable(ids, missing) -> pd.api.extensions.ExtensionArray:
+    """The ids of :func:`whole_ids` as they were."""
+    out = pd.array(np.asarray(ids, np.int64), "Int64")
+    out[np.asarray(missing, bool)] = pd.NA
+    return out
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import table, whole_ids
 
 #: Bytes of formatted text in one output batch, about.
 BATCH_CHARS = 4 << 20
@@ -65,8 +65,7 @@ def parse(formatted: str) -> list[tuple[str, str]]:
 
 def _ordered(frames: Iterator[pd.DataFrame]) -> Iterator[tuple[int | None, str, str]]:
     for f in frames:
-        ids = f["conv_id"].astype("Int64")
-        for conv, null, role, text in zip(ids.fillna(0).tolist(), ids.isna().tolist(), f["role"], f["text"], strict=True):
+        for conv, null, role, text in zip(f["conv_id"].tolist(), f["no_id"].tolist(), f["role"], f["text"], strict=True):
             yield (None if null else conv), role, text
 
 
@@ -113,10 +112,10 @@ def expand(turns: DataFrame) -> DataFrame:
             yield _frame(rows)
 
     ready = turns.select(
-        F.col("conv_id").cast("long"), "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")
+        *whole_ids("conv_id"), "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")
     )
-    dealt = ready.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
-    return dealt.select("conv_id", "role", "text").mapInPandas(run, EXAMPLES)
+    dealt = ready.repartition("conv_id").sortWithinPartitions("conv_id", "no_id", "turn", "role", "text")
+    return dealt.select("conv_id", "no_id", "role", "text").mapInPandas(run, EXAMPLES)
 
 
 def _frame(rows: list[tuple]) -> pd.DataFrame:
@@ -131,9 +130,8 @@ def read_back(examples: DataFrame) -> DataFrame:
         loss, chars, total, n = hashlib.sha256(), 0, 0, 0
         for f in frames:
             rows = []
-            ids = f["conv_id"].astype("Int64")
             starts, ends = (f[c].astype("Int64").fillna(-1).tolist() for c in ("loss_start", "loss_end"))
-            for conv, null, text, i, j, last in zip(ids.fillna(0).tolist(), ids.isna().tolist(), f["formatted"], starts, ends, f["last"], strict=True):
+            for conv, null, text, i, j, last in zip(f["conv_id"], f["no_id"], f["formatted"], starts, ends, f["last"], strict=True):
                 total += len(text)
                 if i >= 0:
                     n += 1
@@ -150,7 +148,8 @@ def read_back(examples: DataFrame) -> DataFrame:
             names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "n_examples"]
             yield pd.DataFrame(rows, columns=names).astype({"conv_id": "Int64", "n_turns": "int64", "loss_chars": "int64", "formatted_chars": "int64", "n_examples": "int64"})
 
-    return examples.mapInPandas(run, DIGESTS)
+    rest = [c for c in examples.columns if c != "conv_id"]
+    return examples.select(*whole_ids("conv_id"), *rest).mapInPandas(run, DIGESTS)
 
 
 def op9_prefix_target(spark: SparkSession, sf_dir: str) -> DataFrame:
