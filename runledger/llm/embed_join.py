@@ -82,29 +82,37 @@ class Plan:
     def links(self, x: np.ndarray, turned: np.ndarray, guest: np.ndarray, chunk: np.ndarray, block: int, both: bool):
         """Pairs (i < j) that link and belong to this tile; ``both``: only pairs across the two chunks."""
         cut = self.cuts[block]
-        y = turned[:, cut].astype(np.float32)
-        half = (y * y).sum(axis=1)
+        # Sorted by one more coordinate, only a stretch of the rows is within the radius of a row.
+        order = np.argsort(turned[:, cut[-1]], kind="stable")
+        line = turned[order, cut[-1]]
+        y = turned[np.ix_(order, cut)].astype(np.float32)
+        half = (y * y).sum(axis=1, keepdims=True)
+        one = np.ones_like(half)
+        # The product of these is the squared distance, in one matrix multiplication.
+        left, right = np.hstack((y, half, one)), np.hstack((-2 * y, one, half)).T.copy()
         limit = np.float32(self.budget[block] + SLACK)
         unit = _unit(x)
         found = []
-        for top in range(0, len(x), 512):
-            end = min(top + 512, len(x))
-            near = half[top:end, None] + half[None, top:] - 2 * (y[top:end] @ y[top:].T) <= limit
-            i, j = np.nonzero(near)
-            i, j = i + top, j + top
-            keep = (i < j) & ((guest[i] & guest[j]) == 0)
-            if both:
-                keep &= chunk[i] != chunk[j]
-            i, j = i[keep], j[keep]
-            for part in range(0, len(i), 100_000):
-                a, b = i[part : part + 100_000], j[part : part + 100_000]
-                linked = np.einsum("ij,ij->i", unit[a], unit[b]) >= self.cosine
-                a, b = a[linked], b[linked]
-                if len(a):
-                    gaps = (turned[a] - turned[b]) ** 2
+        for top in range(0, len(x), 256):
+            end = min(top + 256, len(x))
+            stop = int(np.searchsorted(line, line[end - 1] + self.radius[block], side="right"))
+            for first in range(top, stop, 2048):
+                last = min(first + 2048, stop)
+                at = np.flatnonzero(left[top:end] @ right[:, first:last] <= limit)
+                i, j = at // (last - first) + top, at % (last - first) + first
+                keep = i < j
+                i, j = order[i[keep]], order[j[keep]]
+                keep = (guest[i] & guest[j]) == 0
+                if both:
+                    keep &= chunk[i] != chunk[j]
+                i, j = np.minimum(i, j)[keep], np.maximum(i, j)[keep]
+                linked = np.einsum("ij,ij->i", unit[i], unit[j]) >= self.cosine
+                i, j = i[linked], j[linked]
+                if len(i):
+                    gaps = (turned[i] - turned[j]) ** 2
                     inside = np.stack([gaps[:, c].sum(axis=1) for c in self.cuts], axis=1) <= self.budget + SLACK / 2
                     mine = inside.argmax(axis=1) == block
-                    found.append((a[mine], b[mine]))
+                    found.append((i[mine], j[mine]))
         if not found:
             return np.empty(0, np.int64), np.empty(0, np.int64)
         return tuple(np.concatenate(z) for z in zip(*found, strict=True))
@@ -116,8 +124,8 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _vectors(column: pd.Series) -> np.ndarray:
-    return np.stack([np.frombuffer(b, "<f8") for b in column])
+def _vectors(column: pd.Series, kind: str) -> np.ndarray:
+    return np.stack([np.frombuffer(b, kind) for b in column]).astype(np.float64)
 
 
 def _least_reached(n: int, names: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -140,6 +148,7 @@ def near_duplicates(
 ) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` for every row of ``df`` (``vec_id``, ``embedding``)."""
     spark = df.sparkSession
+    kind = "<f4" if df.schema["embedding"].dataType.simpleString() == "array<float>" else "<f8"
     rows = df.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>").alias("v"))
     good = F.expr(
         "vec_id is not null and size(v) > 0 and exists(v, x -> x <> 0)"
@@ -160,7 +169,7 @@ def near_duplicates(
         for f in frames:
             x = np.stack([np.asarray(v, np.float64) for v in f["v"]]) if len(f) else np.empty((0, width))
             turned = plan.turn(x)
-            data = [v.astype("<f8").tobytes() for v in x]
+            data = [v.astype(kind).tobytes() for v in x]
             for b in range(len(plan.cuts)):
                 at, cell, guest = plan.places(turned, b)
                 yield pd.DataFrame(
@@ -173,7 +182,7 @@ def near_duplicates(
     def compare(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["rep"])
         block = int(group["tile"].iloc[0]) // n_cells
-        x = _vectors(group["x"])
+        x = _vectors(group["x"], kind)
         chunk = group["chunk"].to_numpy()
         both = bool(group["p"].iloc[0] != group["q"].iloc[0])
         i, j = plan.links(x, plan.turn(x), group["guest"].to_numpy(), chunk, block, both)
