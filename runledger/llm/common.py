@@ -14,6 +14,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def settled(value: Column) -> Column:
+    """The same value, behind a generator of one row.
+
+    The optimizer moves filters below projections by putting the projected expressions
+    into them. Where those hold lambdas over earlier columns, each element would compute these
+    again; a filter does not pass a generator.
+    """
+    return F.explode(F.array(value))
+
+
 def whole_ids(name: str) -> list[Column]:
     """An id column and where it is null, apart: with nulls in it, pandas would hold it as floats."""
     return [F.coalesce(F.col(name).cast("long"), F.lit(0).cast("long")).alias(name), F.col(name).isNull().alias("no_id")]

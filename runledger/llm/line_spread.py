@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import checkpointed, table
+from .common import checkpointed, settled, table
 
 #: A line on so many sites is boilerplate; shorter lines are never judged.
 MIN_SITES, MIN_WORDS = 10, 4
@@ -76,12 +76,14 @@ def dedup(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES, min
     clean = F.array_join(F.transform("_kept", lambda i: F.get("_lines", i)), "\n")
     n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size("_lines")).cast("long")
     removed = F.coalesce(n_lines - F.size("_kept"), F.lit(0)).cast("long")
-    return out.select(
-        *[c for c in docs.columns if c != "text"],
-        F.when(F.col("_kept").isNull(), F.col("text")).otherwise(clean).alias("text"),
+    changed = F.col("_kept").isNotNull()
+    result = F.struct(
+        F.when(changed, clean).otherwise(F.col("text")).alias("text"),
         n_lines.alias("n_lines"),
-        F.when(F.col("_kept").isNull(), F.lit(0)).otherwise(removed).cast("long").alias("n_removed"),
+        F.when(changed, removed).otherwise(F.lit(0)).cast("long").alias("n_removed"),
     )
+    rest = [c for c in docs.columns if c not in ("text", "n_lines", "n_removed")]
+    return out.select(*rest, settled(result).alias("_r")).select(*rest, "_r.text", "_r.n_lines", "_r.n_removed")
 
 
 def op4_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:

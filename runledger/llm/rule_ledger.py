@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import settled, table
 
 WINDOW = 5
 # ASCII white space, and the symbols that count as such.
@@ -95,7 +95,7 @@ def measure(docs: DataFrame) -> DataFrame:
         F.expr("size(filter(_words, (w, i) -> coalesce(w = get(_words, i + 1), false)))").cast("long").alias("n_stutters"),
     )
     helpers = ["_text", "_words", "_lines", "_windows", "_repeats", "_sorted", "_starts"]
-    return step.withColumn("m", found).drop(*helpers)
+    return step.withColumn("m", settled(found)).drop(*helpers)
 
 
 def _sql(text: str) -> str:
