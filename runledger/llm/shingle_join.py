@@ -12,16 +12,16 @@ cannot link or are connected already.
 3. Prefix: in the order (frequency, hash) two linked sets share a shingle among
    their first n - ceil(0.8 n) + 1. Rare shingles come first, so a passage that
    very many documents share hardly opens a tile.
-4. Leaders: representatives that agree in a min-hash are compared with the
-   group's smallest id alone, which connects big groups of near copies by a star
-   of links rather than by all their pairs.
+4. Pods: sets that agree in a min-hash are compared in groups of about ``POD``, a larger
+   group being salted into several. A pod skips pairs that it has connected already and
+   returns a forest of links, which connects most of a big group of near copies.
 5. Tiles: a prefix shingle and a size band of ratio 1.25; a set stands in its own
    band and the next, so each pair whose sizes allow a link meets once for each
    shared shingle. A tile whose sets are all connected already is dropped, and only
-   pairs of different components leave a tile.
-6. Each pair meets first its bitmaps: the popcount of the difference of two
-   hashed parity bitmaps bounds the overlap from above. Survivors get an exact
-   intersection of the sorted arrays.
+   pairs of different components are looked at.
+6. Each such pair meets first its bitmaps: the popcount of the difference of two hashed
+   parity bitmaps, as wide as the tile's band asks, bounds the overlap from above. What
+   passes gets an exact intersection of the sorted arrays.
 
 Null, empty and white-space texts have empty sets and stay alone, as do rows with
 a null id (their component is null). Where rows repeat an
@@ -30,6 +30,7 @@ id, each row is judged by its own set and named by that id. Fewer than five word
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,7 +41,7 @@ from pyspark.sql import functions as F
 
 from . import block_counts
 from .block_counts import Block, mix
-from .common import checkpointed, components, table
+from .common import checkpointed, components, table, whole_ids
 
 WORDS, PERCENT = 5, 80
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5], np.uint64)
@@ -49,7 +50,13 @@ _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
 _COUNTED = ~np.uint64(0xFFFF)
 _LEADERS = np.array([0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
-SCHEMA = "doc_id long, n_shingles long, fp string, hashes binary, prefix array<long>, leaders array<long>, bits binary"
+SCHEMA = (
+    "doc_id long, n_shingles long, fp string, hashes binary, prefix array<long>, leaders array<long>, "
+    "band int, bits array<long>, bits_up array<long>"
+)
+
+#: Sets in a pod, about; and the number of crowded min-hashes up to which they are broadcast.
+POD, BROADCAST_ROWS = 512, 100_000
 
 
 def _need(n: int, percent: int) -> int:
@@ -80,22 +87,30 @@ def _sets(block: Block, words: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(sets) if sets else rolled[:0], np.array(ends, np.int64)
 
 
-def bitmap(hashes: np.ndarray) -> bytes:
-    """Parity bitmap, at least as many bits as hashes (a power of two from 64)."""
-    bits = 1 << max(6, (max(1, len(hashes)) - 1).bit_length())
-    odd = np.bincount((mix(hashes) >> np.uint64(64 - bits.bit_length() + 1)).astype(np.int64), minlength=bits) & 1
-    return np.packbits(odd.astype(np.uint8)).tobytes()
+def size_band(n: int, percent: int) -> int:
+    """Sets that may link are in the same band or in neighbouring ones."""
+    return math.floor(math.log(n) / math.log(100 / percent) + 1e-9)
+
+
+def bitmap(hashes: np.ndarray, band: int, percent: int) -> np.ndarray:
+    """Parity bitmap as 64-bit words, with twice as many bits as a set of the band has hashes, or more."""
+    bits = max(64, 1 << math.ceil(math.log2(2 * (100 / percent) ** (band + 1))))
+    place = (mix(hashes) >> np.uint64(64 - bits.bit_length() + 1)).astype(np.int64)
+    return np.packbits((np.bincount(place, minlength=bits) & 1).astype(np.uint8)).view(np.int64)
+
 
+def overlap_bound(n_a, bits_a: np.ndarray, n_b, bits_b: np.ndarray):
+    """No smaller than the number of common hashes of two sets (the last axis holds the words).
 
-def overlap_bound(n_a: int, bits_a: bytes, n_b: int, bits_b: bytes) -> int:
-    """No smaller than the number of common hashes. The wider bitmap is folded to the narrower."""
-    a, b = np.frombuffer(bits_a, np.uint8), np.frombuffer(bits_b, np.uint8)
-    while len(a) != len(b):
-        if len(a) > len(b):
-            a, b = b, a
-        spread = np.unpackbits(b).reshape(-1, 2)
-        b = np.packbits(spread[:, 0] ^ spread[:, 1])
-    return (n_a + n_b - int(np.bitwise_count(a ^ b).sum())) // 2
+    Of signed words, numpy would count the bits of the absolute value.
+    """
+    return (n_a + n_b - np.bitwise_count((bits_a ^ bits_b).view(np.uint64)).sum(axis=-1, dtype=np.int64)) // 2
+
+
+def links(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """Exact, on sorted distinct hashes."""
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * common >= percent * (len(a) + len(b) - common)
 
 
 def document_sets(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -119,57 +134,64 @@ def document_sets(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -
         for (doc, known, i, j), name in zip(spans, names, strict=True):
             one, f, n = flat[i:j], frequency[i:j], j - i
             if name is None or least.get(name) != doc:  # alone, or not the one that stands for its set
-                rows.append((doc if known else None, n, name, None, None, None, None))
+                rows.append((doc if known else None, n, name, *[None] * 6))
                 continue
             del least[name]
             order = np.lexsort((one, f))[: n - _need(n, percent) + 1]
             order = order[f[order] > 1]
             leaders = [int(mix(one * m).min().view(np.int64)) for m in _LEADERS]
-            rows.append((doc, n, name, one.astype("<u8").tobytes(), one[order].view(np.int64).tolist(), leaders, bitmap(one)))
-        frame = pd.DataFrame(rows, columns=["doc_id", "n_shingles", "fp", "hashes", "prefix", "leaders", "bits"])
-        return frame.astype({"doc_id": "Int64"})
-
-    rows = docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"),
-        F.col("doc_id").isNull().alias("no_id"),
-        F.lit(0).alias("flag"),
-        "text",
-    )
+            band = size_band(n, percent)
+            bits = [bitmap(one, b, percent).tolist() for b in (band, band + 1)]
+            rows.append((doc, n, name, one.astype("<u8").tobytes(), one[order].view(np.int64).tolist(), leaders, band, *bits))
+        columns = ["doc_id", "n_shingles", "fp", "hashes", "prefix", "leaders", "band", "bits", "bits_up"]
+        return pd.DataFrame(rows, columns=columns).astype({"doc_id": "Int64", "band": "Int32"})
+
+    rows = docs.select(*whole_ids("doc_id"), F.lit(0).alias("flag"), "text").withColumnRenamed("doc_id", "id")
     return block_counts.exchange(rows, keys, finish, SCHEMA)
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` that link: bitmap bound, then exact intersection."""
-
-    def bound(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            keep = [
-                (100 + percent) * overlap_bound(n, x, m, y) >= percent * (n + m)
-                for n, x, m, y in zip(f["n_a"], f["bits_a"], f["n_b"], f["bits_b"], strict=True)
-            ]
-            yield f.loc[np.array(keep, bool), ["a", "b"]]
+    """The pairs ``(a, b)`` that link, by exact intersection."""
 
     def exact(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            keep = []
-            for x, y in zip(f["x"], f["y"], strict=True):
-                common = len(np.intersect1d(np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8"), assume_unique=True))
-                keep.append(100 * common >= percent * ((len(x) + len(y)) // 8 - common))
+            keep = [links(np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8"), percent) for x, y in zip(f["x"], f["y"], strict=True)]
             yield f.loc[np.array(keep, bool), ["a", "b"]]
 
-    def side(column: str, *names: tuple[str, str]) -> DataFrame:
-        return sets.select(F.col("rep").alias(column), *[F.col(n).alias(m) for n, m in names])
-
-    near = (
-        pairs.join(side("a", ("n", "n_a"), ("bits", "bits_a")), "a")
-        .join(side("b", ("n", "n_b"), ("bits", "bits_b")), "b")
-        .select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
-        .mapInPandas(bound, "a long, b long")
-    )
-    full = near.join(side("a", ("hashes", "x")), "a").join(side("b", ("hashes", "y")), "b")
+    full = pairs.join(sets.select(F.col("rep").alias("a"), F.col("hashes").alias("x")), "a")
+    full = full.join(sets.select(F.col("rep").alias("b"), F.col("hashes").alias("y")), "b")
     return full.select("a", "b", "x", "y").mapInPandas(exact, "a long, b long")
 
 
+def _pods(sets: DataFrame, percent: int) -> DataFrame:
+    """A forest of links ``(a, b)`` among sets that agree in a min-hash."""
+
+    def forest(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.drop_duplicates("rep")
+        hashes = [np.frombuffer(x, "<u8") for x in group["hashes"]]
+        n = np.array([len(x) for x in hashes])
+        top = size_band(int(n.max()), percent)
+        words = np.stack([bitmap(x, top, percent) for x in hashes])
+        names, root, out = group["rep"].to_numpy(), np.arange(len(n)), []
+        for i in range(len(n) - 1):
+            rest = np.arange(i + 1, len(n))
+            rest = rest[(root[rest] != root[i]) & (100 * np.minimum(n[rest], n[i]) >= percent * np.maximum(n[rest], n[i]))]
+            bound = overlap_bound(n[rest], words[rest], n[i], words[i])
+            for j in rest[(100 + percent) * bound >= percent * (n[rest] + n[i])].tolist():
+                if root[j] != root[i] and links(hashes[i], hashes[j], percent):
+                    out.append((names[i], names[j]))
+                    root[root == root[j]] = root[i]
+        return pd.DataFrame(out, columns=["a", "b"], dtype=np.int64)
+
+    crowded = sets.select(F.explode("leaders").alias("key")).groupBy("key").count().filter(F.col("count") > POD)
+    crowded = checkpointed(crowded.select("key", F.ceil(F.col("count") / F.lit(POD)).cast("long").alias("pods")))
+    if crowded.count() <= BROADCAST_ROWS:
+        crowded = F.broadcast(crowded)
+    keyed = sets.select("rep", "hashes", F.explode("leaders").alias("key")).join(crowded, "key", "left")
+    salt = F.pmod(F.xxhash64("rep", "key"), F.coalesce("pods", F.lit(1).cast("long")))
+    return keyed.withColumn("salt", salt).drop("pods").groupBy("key", "salt").applyInPandas(forest, "a long, b long")
+
+
 def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``docs``."""
     rows = checkpointed(document_sets(docs, words, percent))
@@ -178,35 +200,39 @@ def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFra
     sets = rows.filter("hashes is not null").select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "*")
     mine = ["fp", "rep"]
 
-    by_leader = sets.select("rep", "fp", "leaders").join(reps, mine).select("rep", F.explode("leaders").alias("key"))
-    leader = by_leader.groupBy("key").agg(F.min("rep").alias("a"))
-    stars = by_leader.join(leader, "key").filter("rep <> a").select("a", F.col("rep").alias("b")).distinct()
-    links = checkpointed(_verified(stars, sets, percent))
-    first = components(links).select(F.col("node").alias("rep"), "component")
+    # Equal sets of several blocks hang on their representative.
+    same = sets.select(F.col("rep").alias("b"), "fp").join(reps.withColumnRenamed("rep", "a"), "fp").select("a", "b")
+    found = checkpointed(_pods(sets, percent).unionByName(same.filter("a <> b")).distinct())
+    first = components(found).select(F.col("node").alias("rep"), "component")
 
-    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)) + 1e-9).cast("int")
+    thin = sets.select("rep", "fp", "n", "prefix", "band").join(reps, mine).join(first, "rep", "left")
+    thin = thin.withColumn("component", F.coalesce("component", "rep"))
     posted = (
-        sets.select("rep", "fp", "n", "prefix", band.alias("band"))
-        .join(reps, mine)
-        .join(first, "rep", "left")
-        .withColumn("component", F.coalesce("component", "rep"))
-        .select("rep", "n", "component", "band", F.explode("prefix").alias("shingle"))
+        thin.select("rep", "n", "component", "band", F.explode("prefix").alias("shingle"))
         .withColumn("guest", F.explode(F.array(F.lit(False), F.lit(True))))
-        .withColumn("band", F.col("band") + F.col("guest").cast("int"))
+        .withColumn("tile", F.col("band") + F.col("guest").cast("int"))
+        .drop("band")
     )
-    mixed = posted.groupBy("shingle", "band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-    mixed = mixed.filter("lo <> hi").select("shingle", "band")
-    posted = posted.join(mixed, ["shingle", "band"], "left_semi")
+    mixed = posted.groupBy("shingle", "tile").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+    mixed = mixed.filter("lo <> hi").select("shingle", "tile")
+    posted = checkpointed(posted.join(mixed, ["shingle", "tile"], "left_semi"))
+    bits = sets.select("rep", "bits", "bits_up").join(posted.select("rep").distinct(), "rep", "left_semi")
+    tiles = posted.join(bits.dropDuplicates(["rep"]), "rep").withColumn("bits", F.expr("if(guest, bits_up, bits)")).drop("bits_up")
+    differ = "aggregate(zip_with(p.bits, q.bits, (x, y) -> bit_count(x ^ y)), 0, (total, x) -> total + x)"
     pairs = (
-        posted.alias("p")
-        .join(posted.alias("q"), ["shingle", "band"])
-        .filter("p.rep < q.rep and p.component <> q.component and not (p.guest and q.guest)")
-        .filter(f"100 * least(p.n, q.n) >= {percent} * greatest(p.n, q.n)")
+        tiles.alias("p")
+        .join(tiles.alias("q"), ["shingle", "tile"])
+        .filter(
+            "p.rep < q.rep and p.component <> q.component and not (p.guest and q.guest)"
+            f" and 100 * least(p.n, q.n) >= {percent} * greatest(p.n, q.n)"
+            f" and {100 + percent} * ((p.n + q.n - {differ}) div 2) >= {percent} * (p.n + q.n)"
+        )
         .select(F.col("p.rep").alias("a"), F.col("q.rep").alias("b"))
         .distinct()
     )
-    links = links.unionByName(_verified(pairs, sets, percent))
-    linked = components(links).select(F.col("node").alias("rep"), "component")
+    pairs = checkpointed(pairs)
+    found = found.unionByName(_verified(pairs, sets, percent))
+    linked = components(found).select(F.col("node").alias("rep"), "component")
     return (
         rows.select("doc_id", "n_shingles", "fp")
         .join(reps, "fp", "left")
