@@ -12,9 +12,14 @@ from pyspark.sql import functions as F
 DAY_US = 86_400_000_000
 
 
+# Fixed value: the form of a log time, one or two digits a field.
+_LOG_TIME = r"^(\d{1,2}):(\d{1,2}):(\d{1,2}) (\d{1,2})\.(\d{1,2})\.(\d{4})$"
+
+
 def parse_log_time(text: Column) -> Column:
     """``H:M:S d.m.Y`` with one- or two-digit fields; null when malformed."""
-    return F.try_to_timestamp(text, F.lit("H:m:s d.M.yyyy")).cast("timestamp_ntz")
+    hour, minute, second, day, month, year = (F.regexp_extract(text, _LOG_TIME, k).try_cast("int") for k in range(1, 7))
+    return F.try_make_timestamp_ntz(year, month, day, hour, minute, second.cast("double"))
 
 
 def midnight(day: Column) -> Column:
@@ -48,19 +53,22 @@ def days_and_seconds(micros: Column) -> tuple[Column, Column]:
 
 
 def format_clock(micros: Column) -> Column:
-    """``D days HH:MM:SS[.ffffff]`` for a non-negative duration."""
-    seconds = F.floor(micros / F.lit(1_000_000)).cast("bigint")
+    """``D days HH:MM:SS[.ffffff]``; null for null.
+
+    Days are floored and the rest is never negative: one microsecond less than
+    zero is ``-1 days 23:59:59.999999``.
+    """
+    days, seconds = days_and_seconds(micros)
     fraction = F.pmod(micros, F.lit(1_000_000))
     base = F.format_string(
         "%d days %02d:%02d:%02d",
-        F.floor(seconds / 86400).cast("bigint"),
-        F.floor(F.pmod(seconds, F.lit(86400)) / 3600).cast("bigint"),
+        days,
+        F.floor(seconds / 3600).cast("bigint"),
         F.floor(F.pmod(seconds, F.lit(3600)) / 60).cast("bigint"),
         F.pmod(seconds, F.lit(60)),
     )
-    return F.when(fraction == 0, base).otherwise(
-        F.concat(base, F.format_string(".%06d", fraction))
-    )
+    shown = F.when(fraction == 0, base).otherwise(F.concat(base, F.format_string(".%06d", fraction)))
+    return F.when(micros.isNotNull(), shown)
 
 
 def hex_epoch(moment: Column) -> Column:

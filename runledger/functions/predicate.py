@@ -14,6 +14,8 @@ from .clock import midnight
 def as_day(value: dt.date | str | Column) -> Column:
     if isinstance(value, Column):
         return value
+    if isinstance(value, str):
+        value = dt.date.fromisoformat(value)  # ValueError before any job runs
     if isinstance(value, dt.datetime):
         value = value.date()
     return F.lit(value).cast("date")
