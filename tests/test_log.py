@@ -56,12 +56,25 @@ def test_trimmed_mean_equals_brute_force(spark, ratio):
     assert {r.k: r.trimmed_mean for r in got} == want
 
 
+# Published sample outputs of ten and seven days, and their means.
+STARTS = "04:36:51 04:37:33 04:38:30 04:38:01 04:37:40 04:37:29 04:37:40 04:38:29 04:37:35 04:37:28"
+ENDS = "05:39:09 05:47:03 05:40:24 05:50:08 05:48:27 05:43:24 05:43:01 05:49:52 05:39:51 05:42:19"
+POINTS = "22:39:44 23:04:29 22:37:49 22:40:37 22:53:59 22:41:17 22:47:47 22:43:02 22:40:50 22:41:33"
+WEEK = "05:50:38 06:00:40 05:50:06 06:22:54 05:44:59 06:15:17 06:18:29"
+
+
 def test_goldens(spark):
-    seven = clocks("05:58:23", "06:01:03", "06:12:31", "06:04:02", "06:03:31", "06:02:03", "06:01:30")
-    points = spark.createDataFrame([("/a", v) for v in seven], "node_path string, clock long")
-    got = reports.time_point_summary(points).select("n", format_clock(F.col("mean")).alias("m"), format_clock(F.col("trimmed_mean")).alias("t")).first()
-    assert got.n == 7 and got.m == f"0 days 06:03:{(sum(seven) // 7) % 60_000_000 / 1e6:09.6f}"
-    assert got.t == f"0 days 06:02:{brute_trimmed(seven, 0.25) % 60_000_000 / 1e6:09.6f}"
+    rows = [("/a", a, b) for a, b in zip(clocks(*STARTS.split()), clocks(*ENDS.split()))]
+    periods = spark.createDataFrame(rows, "node_path string, start_clock long, end_clock long")
+    got = reports.time_period_summary(periods).select(format_clock(F.col("start_mean")).alias("s"), format_clock(F.col("end_mean")).alias("e")).first()
+    assert (got.s, got.e) == ("0 days 04:37:39.666666", "0 days 05:44:06.333333")
+    for texts, mean, trimmed in (
+        (POINTS, "0 days 22:45:06.700000", "0 days 22:42:31"),
+        (WEEK, "0 days 06:03:17.571428", "0 days 06:03:02"),
+    ):
+        points = spark.createDataFrame([("/a", v) for v in clocks(*texts.split())], "node_path string, clock long")
+        got = reports.time_point_summary(points).select(format_clock(F.col("mean")).alias("m"), format_clock(F.col("trimmed_mean")).alias("t")).first()
+        assert (got.m, got.t) == (mean, trimmed)
 
 
 def test_summaries_ask_for_their_columns(spark):
