@@ -14,27 +14,46 @@ from .runs import TASK, Machine, node_table, situations
 BUCKET_US = 1_000_000
 
 
-def trimmed_mean(df: DataFrame, by: list[str], col: str, ratio: float = 0.25, name: str = "trimmed_mean") -> DataFrame:
-    """Mean per key without the ``floor(ratio * n)`` smallest and largest of its n values, in whole units.
-
-    Nulls do not count. Equal values are counted first, buckets of values are summed up
-    next, and windows run over the buckets of a key and over the values of a bucket; so a
-    key with very many values is not sorted in one task, and no value is dropped or sampled.
+def clock_means(df: DataFrame, by: list[str], columns: list[str], ratio: float = 0.25) -> DataFrame:
+    """``n_C``, ``mean_C`` and ``trimmed_C`` for each column C, per key, in whole units.
+
+    The trimmed mean is that without the ``floor(ratio * n)`` smallest and largest of the n
+    values. Nulls do not count; a key with nulls alone has n 0 and no means. Equal values
+    are counted first, buckets of values are summed up next, and windows run over the
+    buckets of a key and over the values of a bucket; so a key with very many values is
+    not sorted in one task, and no value is dropped or sampled. All columns go through
+    one aggregation.
     """
-    v = F.col(col).cast("bigint")
-    values = df.filter(F.col(col).isNotNull()).groupBy(*by, v.alias("v")).agg(F.count("*").alias("c"))
+    stacked = F.explode(F.array(*[F.struct(F.lit(c).alias("which"), F.col(c).cast("bigint").alias("v")) for c in columns]))
+    keys = [*by, "which"]
+    values = df.select(*by, stacked.alias("x")).select(*by, "x.which", "x.v").groupBy(*keys, "v").agg(F.count("*").alias("c"))
     values = values.withColumn("b", F.floor(F.col("v") / F.lit(BUCKET_US)))
-    buckets = values.groupBy(*by, "b").agg(F.sum("c").alias("bc"))
-    whole = Window.partitionBy(*by)
+    buckets = values.filter("v is not null").groupBy(*keys, "b").agg(F.sum("c").alias("bc"))
+    whole = Window.partitionBy(*keys)
     before = whole.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
-    buckets = buckets.select(*by, "b", F.coalesce(F.sum("bc").over(before), F.lit(0)).alias("below"), F.sum("bc").over(whole).alias("n"))
-    inside = Window.partitionBy(*by, "b").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    placed = values.join(buckets, [*by, "b"])
+    buckets = buckets.select(*keys, "b", F.coalesce(F.sum("bc").over(before), F.lit(0)).alias("below"), F.sum("bc").over(whole).alias("n"))
+    inside = Window.partitionBy(*keys, "b").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    placed = values.join(buckets, [*keys, "b"], "left")
     placed = placed.withColumn("hi", F.col("below") + F.sum("c").over(inside)).withColumn("lo", F.col("hi") - F.col("c"))
     k = F.floor(F.col("n") * F.lit(ratio))
     taken = F.greatest(F.lit(0), F.least("hi", F.col("n") - k) - F.greatest("lo", k))
-    sums = placed.groupBy(*by).agg(F.sum(taken * F.col("v")).alias("total"), F.sum(taken).alias("kept"))
-    return sums.select(*by, F.expr("total div kept").alias(name))
+    sums = placed.groupBy(*keys).agg(
+        F.coalesce(F.max("n"), F.lit(0)).alias("n"),
+        F.sum(F.col("c") * F.col("v")).alias("total"),
+        F.sum(taken * F.col("v")).alias("inner_total"),
+        F.sum(F.when(F.col("v").isNotNull(), taken)).alias("kept"),
+    )
+    sums = sums.select(
+        *keys, "n", F.expr("total div nullif(n, 0)").alias("mean"), F.expr("inner_total div nullif(kept, 0)").alias("trimmed")
+    )
+    pick = [F.max(F.when(F.col("which") == c, F.col(f))).alias(f"{f}_{c}") for c in columns for f in ("n", "mean", "trimmed")]
+    return sums.groupBy(*by).agg(*pick)
+
+
+def trimmed_mean(df: DataFrame, by: list[str], col: str, ratio: float = 0.25, name: str = "trimmed_mean") -> DataFrame:
+    """Trimmed mean of one column per key that has a value."""
+    means = clock_means(df, by, [col], ratio)
+    return means.filter(F.col(f"n_{col}") > 0).select(*by, F.col(f"trimmed_{col}").alias(name))
 
 
 def time_point(log: DataFrame, status: str, start, stop, machine: Machine = TASK, earliest_time=None) -> DataFrame:
@@ -50,8 +69,8 @@ def time_point_summary(points: DataFrame, ratio: float = 0.25) -> DataFrame:
     """Mean and trimmed mean of the clocks of each node; days without one do not count."""
     if "clock" not in points.columns:
         raise ValueError("time points have a column clock")
-    mean = points.groupBy("node_path").agg(F.count("clock").alias("n"), F.expr("sum(clock) div count(clock)").alias("mean"))
-    return mean.join(trimmed_mean(points, ["node_path"], "clock", ratio), "node_path", "left")
+    means = clock_means(points, ["node_path"], ["clock"], ratio)
+    return means.select("node_path", F.col("n_clock").alias("n"), F.col("mean_clock").alias("mean"), F.col("trimmed_clock").alias("trimmed_mean"))
 
 
 def time_period(log: DataFrame, start, stop, machine: Machine = TASK, earliest_time=None) -> DataFrame:
@@ -70,10 +89,10 @@ def time_period_summary(periods: DataFrame, ratio: float = 0.25) -> DataFrame:
     for c in ("start_clock", "end_clock"):
         if c not in periods.columns:
             raise ValueError(f"time periods have a column {c}")
-    counts = periods.groupBy("node_path").agg(F.count("start_clock").alias("n"))
-    start = trimmed_mean(periods, ["node_path"], "start_clock", ratio, "start_mean")
-    end = trimmed_mean(periods, ["node_path"], "end_clock", ratio, "end_mean")
-    return counts.join(start, "node_path", "left").join(end, "node_path", "left")
+    means = clock_means(periods, ["node_path"], ["start_clock", "end_clock"], ratio)
+    return means.select(
+        "node_path", F.col("n_start_clock").alias("n"), F.col("trimmed_start_clock").alias("start_mean"), F.col("trimmed_end_clock").alias("end_mean")
+    )
 
 
 def with_late(periods: DataFrame, ratio: float = 0.25, threshold_minutes: int = 30) -> DataFrame:
