@@ -7,13 +7,13 @@ Parquet in the folder that all executors share and read again.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from runledger.llm import bin_slack, line_spread, rule_ledger, shingle_join
+from runledger.llm.common import shared_folder
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -50,11 +50,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
-    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="pipeline-")
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over ``documents``. What a stage read is deleted when it has written."""
+    top = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
-        path = f"{folder.rstrip('/')}/pipeline-{uuid.uuid4().hex}-{name}"
+        path = f"{top}/{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before is not None:
+            hadoop(before).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop(before), True)
+        before = path
     return docs

@@ -40,16 +40,20 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage through the folder that all executors share.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share, as ``spark.checkpoint.dir`` names it.
 
-    ``spark.checkpoint.dir`` is taken as the cluster sets it. Only a session
-    without one (tests in one process) gets a temporary folder.
+    Only a session without that setting (tests in one process) gets a temporary one.
     """
-    sc = df.sparkSession.sparkContext
+    sc, named = spark.sparkContext, spark.conf.get("spark.checkpoint.dir", None)
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        folder = sc.getConf().get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="runledger-"))
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="runledger-"))
+    return (named or sc._jsc.sc().getCheckpointDir().get()).rstrip("/")
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut the lineage by a checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bin_slack
-from .common import checkpointed, table
+from .common import checkpointed, shared_folder, table
 
 KEYS = ("source", "lang", "tokenizer")
 
@@ -130,8 +130,7 @@ def op6_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = words_1.join(first, same, "left")
     copies, rest = marked.filter("doc_id <> first"), marked.filter("doc_id <=> first")
 
-    folder = spark.sparkContext._jsc.sc().getCheckpointDir().get()
-    store = Rollup(spark, f"{folder}/rollup-{uuid.uuid4().hex}")
+    store = Rollup(spark, f"{shared_folder(spark)}/rollup-{uuid.uuid4().hex}")
     store.commit("load", inserts(words_1, F.col("words")).unionByName(inserts(bpe_1, F.col("n_tokens"))))
     store.commit("dedup", deletes(copies, F.col("words")))
     store.commit("recount", revisions(rest, F.col("words"), F.col("words") + 1))
