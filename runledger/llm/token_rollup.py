@@ -9,7 +9,7 @@ The store is a folder of Parquet files, one folder a batch, in the file system t
 executors share. A batch is written to its own name with ``overwrite``, and Spark's
 commit marker (``_SUCCESS``) decides whether it counts. So a batch that is sent again, after
 a crash or by mistake, replaces itself and changes no total, and batches may arrive in
-any order. ``compact`` folds batches into one without changing totals.
+any order.
 
 Grouping is by three columns of few values; it sums in every task before the shuffle, so a
 source with a third of all rows costs one row a task. Null sources and languages
@@ -64,8 +64,9 @@ class Rollup:
 
     def commit(self, batch: str, changes: DataFrame) -> None:
         """Add a batch of signed rows; again under the same name replaces it."""
+        path = self._path(batch)
         sums = changes.groupBy(*KEYS).agg(F.sum("d_docs").alias("d_docs"), F.sum("d_tokens").alias("d_tokens"))
-        sums.write.mode("overwrite").parquet(self._path(batch))
+        sums.write.mode("overwrite").parquet(path)
 
     def batches(self) -> list[str]:
         """Names of the committed batches."""
