@@ -201,6 +201,8 @@ ORACLES = {
     "run_windows": f"{WITH},{_placed('TRUE')} SELECT node_path, run_date, line_no FROM placed",
     "run_calendar": f"""{WITH},{_placed('TRUE')} SELECT n.node_path, d.run_date, count(p.rn) AS n_records
         FROM (SELECT DISTINCT node_path FROM src) n CROSS JOIN days d LEFT JOIN placed p ON p.node_path = n.node_path AND p.run_date = d.run_date GROUP BY ALL""",
+    "stream_run_windows": f"{WITH},{_placed('TRUE')} SELECT node_path, run_date, count(*) AS n_records FROM placed GROUP BY ALL",
+    "stream_situations": f"{_situations(TASK, 'task')} {SIT}",
     "situations_task": f"{_situations(TASK, 'task')} {SIT}",
     "situations_ties": f"{_situations(TASK, 'task', _TIE)} {SIT}",
     "situations_family": f"{_situations(FAMILY, 'family')} {SIT}",

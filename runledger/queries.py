@@ -5,11 +5,14 @@ Timestamps leave as text, durations as whole microseconds.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import streaming
 from .functions.clock import format_clock
 from .functions.predicate import in_date_range
 from .operators import daily, nodes, reports, runs, versions
@@ -24,8 +27,11 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def log_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return log_of(events(spark, sf_dir))
+
+
+def log_of(e: DataFrame) -> DataFrame:
     """Each event as a record of a task, and as one of the family around it."""
-    e = events(spark, sf_dir)
     group = F.floor(F.col("user_id") / 10)
     family = F.concat(F.lit("/suite"), (group % 5).cast("string"), F.lit("/fam"), group.cast("string"))
     kind = F.col("event_type")
@@ -308,6 +314,27 @@ def records_as_json(spark, sf_dir):
     return sinks.records_as_json(tasks(spark, sf_dir).select("line_no", "node_path", "command", "info"))
 
 
+def _streamed(spark, sf_dir, run) -> DataFrame:
+    """What ``run(log stream, table, out, checkpoint)`` leaves in ``out``; all in the folder that executors share."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="runledger-")
+    top = f"{shared.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    schema = events(spark, sf_dir).schema
+    # A pattern, since a stream takes a plain path for a folder, and the table may be one file.
+    stream = log_of(spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]"))
+    run(stream, f"{top}/table", f"{top}/out", f"{top}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{top}/out")
+
+
+def stream_run_windows(spark, sf_dir):
+    out = _streamed(spark, sf_dir, lambda log, *paths: streaming.stream_run_windows(log, *paths, START, STOP))
+    return out.select("node_path", "run_date", "n_records")
+
+
+def stream_situations(spark, sf_dir):
+    out = _streamed(spark, sf_dir, lambda log, *paths: streaming.stream_situations(log.filter(TASKS), *paths, START, STOP))
+    return _texts(out.drop("bucket"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -316,5 +343,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         time_period_summary, late_runs, model_run_report, trimmed_mean_value, task_situation_daily, complete_by_rule,
         family_situation_daily, run_timeline, node_tree, node_types, node_exists, parse_sms, parse_ecflow, pre_filter, log_file_info,
         register_versions, incremental_rows, resolve_repo, upsert_dim, export_keyed, scan_by_key, records_as_json,
+        stream_run_windows, stream_situations,
     )
 }

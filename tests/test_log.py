@@ -274,6 +274,8 @@ def test_sinks(spark, tmp_path):
 
 def test_plans_have_no_python_and_no_cross_join(spark):
     for name, query in queries.QUERIES.items():
+        if name.startswith("stream_"):
+            continue
         plan = query(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
         for bad in ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
             assert bad not in plan, (name, bad)
