@@ -33,7 +33,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest id of each group of near copies."""
+    """The smallest id of each group of near copies; rows that repeat an id stay or go together."""
     classes = shingle_join.join(docs).filter("doc_id <> component_id").select("doc_id").distinct()
     return docs.select(*COLUMNS).join(classes, "doc_id", "left_anti").select(*COLUMNS)
 

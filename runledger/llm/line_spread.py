@@ -11,7 +11,7 @@ Only hashes are shuffled for counting. The documents themselves meet the list of
 numbers they lose, which for most is empty.
 
 Defined cases: a null text stays null and counts no lines; an empty line, and one
-of fewer than ``min_words`` words, always stays; a null source is a site of its own.
+of fewer than ``min_words`` words, always stays; a null source counts as the empty one.
 Rows that repeat a doc_id lose the same line numbers. Rows with a null doc_id stay as
 they are, though their lines count. Extra columns are carried along.
 """
