@@ -122,10 +122,12 @@ def judge(df: DataFrame, rules=RULES, blocked=BLOCKED_DOMAINS, url: str = "url")
     if len(data) > MAX_BYTES:
         return judge_by_join(df, rules, blocked, url)
     name = f"digests-{xxhash.xxh3_128_hexdigest(data)}.bin"
-    file = os.path.join(tempfile.mkdtemp(prefix="digests-"), name)
-    with open(file, "wb") as f:
-        f.write(data)
-    spark.sparkContext.addFile(file)  # Spark copies it to every executor, also to later ones
+    sc = spark.sparkContext
+    if not any(f.endswith(f"/{name}") for f in sc.listFiles):  # named by its content: sent once a session
+        file = os.path.join(tempfile.mkdtemp(prefix="digests-"), name)
+        with open(file, "wb") as f:
+            f.write(data)
+        sc.addFile(file)  # Spark copies it to every executor, also to later ones
     named = df.withColumn("host", host(F.col(url))).withColumn("path", path(F.col(url)))
 
     def look(frames: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
