@@ -13,7 +13,8 @@ numbers they lose, which for most is empty.
 Defined cases: a null text stays null and counts no lines; an empty line, and one
 of fewer than ``min_words`` words, always stays; a null source counts as the empty one.
 Rows that repeat a doc_id lose the same line numbers. Rows with a null doc_id stay as
-they are, though their lines count. Extra columns are carried along.
+they are, though their lines count. Extra columns are carried along; ones named ``n_lines`` or
+``n_removed`` are replaced.
 """
 
 from __future__ import annotations
@@ -62,13 +63,15 @@ def dedup(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES, min
     """``docs`` with ``text`` cleaned, ``n_lines`` before and ``n_removed``."""
     found = checkpointed(lines(docs, site, min_words))
     marked = checkpointed(boilerplate(found, min_sites))
-    named = found.filter("doc_id is not null").join(marked, "line").select("line", "doc_id", "place")
-    first = named.groupBy("line").agg(F.min(F.struct("doc_id", "place")).alias("first"))
+    named = found.filter("doc_id is not null").select("line", F.struct("doc_id", "place").alias("at"))
+    first = named.join(marked, "line").groupBy("line").agg(F.min("at").alias("first"))
+    # As a table of its own it leaves a join that Spark can split where one line has very many rows.
+    first = checkpointed(first)
     lost = (
         named.join(first, "line")
-        .filter(F.struct("doc_id", "place") != F.col("first"))
-        .groupBy("doc_id")
-        .agg(F.collect_set("place").alias("_lost"))
+        .filter(F.col("at") != F.col("first"))
+        .groupBy(F.col("at.doc_id").alias("doc_id"))
+        .agg(F.collect_set("at.place").alias("_lost"))
     )
     out = docs.join(lost, "doc_id", "left").withColumn("_lines", F.split("text", "\n", -1))
     kept = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_lost"))

@@ -6,7 +6,8 @@ rules it enforces, so new policies, comparisons and ablations need only bitwise
 work on the ledger, never the texts again.
 
 Words are ``[^\\x20\\x09-\\x0D]+``. Null texts have no words, like empty ones. Texts
-without words fail the length rule. Extra columns of the input are carried along.
+without words fail the length rule. Extra columns of the input are carried along, but for
+ones named ``m`` or ``failed``, which the ledger's own replace.
 """
 
 from __future__ import annotations

@@ -127,7 +127,8 @@ def op6_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     words_1 = ready.withColumn("tokenizer", F.lit("words-1"))
     bpe_1 = ready.withColumn("tokenizer", F.lit("bpe50k-1"))
     same = ["h1", "h2", "words", "n_tokens"]
-    first = ready.groupBy(*same).agg(F.min("doc_id").alias("first"))
+    # A table of its own, so that Spark can split the join where one text has very many copies.
+    first = checkpointed(ready.groupBy(*same).agg(F.min("doc_id").alias("first")))
     marked = words_1.join(first, same, "left")
     copies, rest = marked.filter("doc_id <> first"), marked.filter("doc_id <=> first")
 
