@@ -30,8 +30,11 @@ from pyspark.sql import functions as F
 
 from .common import partitions
 
-#: Tokens in a block; a single longer document is a block by itself.
+#: Tokens in a block; a single longer document is a block by itself. A block sends one row to
+#: each key range, so for inputs of many terabytes raise it as far as workers' memory allows.
 BLOCK_TOKENS = 1_000_000
+#: Input bytes for each key range, about; there are four ranges a shuffle partition at least.
+RANGE_BYTES = 64 << 20
 ROWS = "block long, shard int, kind int, part int, a binary, b binary"
 COLUMNS = ["block", "shard", "kind", "part", "a", "b"]
 KEYS, REPLY, TEXT = 0, 1, 2
@@ -163,6 +166,13 @@ def _blocks(frames: Iterator[pd.DataFrame], end: bytes | None) -> Iterator[Block
         yield made()
 
 
+def _ranges(docs: DataFrame) -> int:
+    """Number of key ranges: so many that the keys of one fit into a task, by the input's size where Spark knows it."""
+    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    known = size if size < 1 << 60 else 0  # a plan of unknown size claims the largest number
+    return max(4 * partitions(docs.sparkSession), known // RANGE_BYTES)
+
+
 def exchange(
     docs: DataFrame,
     keys: Callable[[Block], tuple[np.ndarray, np.ndarray]],
@@ -178,8 +188,7 @@ def exchange(
     total and the number of odd keys whose total is positive, corpus-wide.
     ``end``: a token added to every document.
     """
-    spark = docs.sparkSession
-    shards = 4 * partitions(spark)
+    shards = _ranges(docs)
 
     def numbered(frames: Iterator[pd.DataFrame]) -> Iterator[tuple[int, Block]]:
         frames = iter(frames)
