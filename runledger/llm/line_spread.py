@@ -43,20 +43,17 @@ def lines(docs: DataFrame, site: str = "source", min_words: int = MIN_WORDS) ->
 
 
 def boilerplate(found: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
-    """``line``: the hashes on at least ``min_sites`` sites."""
-    spread = found.groupBy("line").agg(F.hll_sketch_agg("site", LG_K).alias("sketch"))
-    spread = spread.select("line", F.hll_sketch_estimate("sketch").alias("sites"))
+    """``line, first``: the hashes on at least ``min_sites`` sites, and the first place of each."""
+    place = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "place")))
+    spread = found.groupBy("line").agg(F.hll_sketch_agg("site", LG_K).alias("sketch"), place.alias("first"))
+    spread = spread.select("line", "first", F.hll_sketch_estimate("sketch").alias("sites"))
     spread = checkpointed(spread.filter(F.col("sites") >= min_sites * (1 - NEAR) - 1))
     clear = F.col("sites") > min_sites * (1 + NEAR) + 1
-    exact = (
-        found.join(spread.filter(~clear).select("line"), "line", "left_semi")
-        .select("line", "site")
-        .distinct()
-        .groupBy("line")
-        .count()
-        .filter(F.col("count") >= min_sites)
-    )
-    return spread.filter(clear).select("line").unionByName(exact.select("line"))
+    near = spread.filter(~clear).select("line", "first")
+    # One row for each line and site before anything meets by line.
+    pairs = found.select("line", "site").distinct()
+    exact = pairs.join(near, "line", "left_semi").groupBy("line").count().filter(F.col("count") >= min_sites)
+    return spread.filter(clear).select("line", "first").unionByName(near.join(exact.select("line"), "line", "left_semi"))
 
 
 def dedup(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES, min_words: int = MIN_WORDS) -> DataFrame:
@@ -64,11 +61,8 @@ def dedup(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES, min
     found = checkpointed(lines(docs, site, min_words))
     marked = checkpointed(boilerplate(found, min_sites))
     named = found.filter("doc_id is not null").select("line", F.struct("doc_id", "place").alias("at"))
-    first = named.join(marked, "line").groupBy("line").agg(F.min("at").alias("first"))
-    # As a table of its own it leaves a join that Spark can split where one line has very many rows.
-    first = checkpointed(first)
     lost = (
-        named.join(first, "line")
+        named.join(marked, "line")
         .filter(F.col("at") != F.col("first"))
         .groupBy(F.col("at.doc_id").alias("doc_id"))
         .agg(F.collect_set("at.place").alias("_lost"))
