@@ -8,8 +8,10 @@ Records of one node are ordered by ``(ts, line_no)``.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from collections.abc import Callable
+from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -136,7 +138,6 @@ class Table:
     moves: dict[str, dict[str, str]]
     stops: tuple[str, ...]
     initial: str = "Initial"
-    errors: tuple[str, ...] = field(default=())
 
 
 # The tables of the built-in machines.
@@ -183,6 +184,25 @@ def situations_by_table(log: DataFrame, start, stop, table: Table, earliest_time
     return calendar(log, start, stop).join(folded, list(RUN), "left").withColumn("situation", F.coalesce("situation", F.lit(table.initial)))
 
 
+def situations_by_function(log: DataFrame, start, stop, step: Callable[[str, str], str], initial: str = "Initial", stops=(), earliest_time=None) -> DataFrame:
+    """``node_path, run_date, situation`` by ``step(state, status)``, for machines that no table can state.
+
+    Runs Python for each window (one node's records of two days), so a table is to be preferred.
+    """
+    placed = assign_run_window(status_changes(log), start, stop, earliest_time)
+
+    def run(window: pd.DataFrame) -> pd.DataFrame:
+        state = initial
+        for status in window.sort_values(["ts", "line_no"])["command"]:
+            state = step(state, status)
+            if state in stops:
+                break
+        return window[list(RUN)].head(1).assign(situation=state)
+
+    found = placed.groupBy(*RUN).applyInPandas(run, "node_path string, run_date date, situation string")
+    return calendar(log, start, stop).join(found, list(RUN), "left").withColumn("situation", F.coalesce("situation", F.lit(initial)))
+
+
 def node_table(found: DataFrame, target: str = "Complete") -> DataFrame:
     """Points and periods of each day's run; all null unless it reached ``target``."""
     hit = F.col("situation") == target

@@ -98,6 +98,14 @@ def test_windows_equal_the_fold(spark, machine, table):
     assert sorted(map(tuple, by_windows.collect())) == sorted(map(tuple, by_table.collect()))
 
 
+def test_a_machine_may_be_a_function(spark):
+    records, table = random_log(spark, 8, n=120), runs.TASK_TABLE
+    step = lambda state, status: table.moves[state].get(status, state)
+    got = runs.situations_by_function(records, "2024-01-01", "2024-01-12", step, stops=("Complete",))
+    want = runs.situations_by_table(records, "2024-01-01", "2024-01-12", table)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
 def test_task_runs(spark):
     rows = [
         ("/a", "1 01:00", "complete"),  # the tail of yesterday's run
