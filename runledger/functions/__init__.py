@@ -9,7 +9,6 @@ from .clock import (
     midnight,
     parse_log_time,
     run_key,
-    seconds_of_day,
 )
 from .path import ancestors, depth, is_under, name, parent, segments
 from .predicate import commands_in, in_calendar, in_date_range, is_status, later_than
@@ -33,6 +32,5 @@ __all__ = [
     "parent",
     "parse_log_time",
     "run_key",
-    "seconds_of_day",
     "segments",
 ]

@@ -37,10 +37,6 @@ def clock_us(day: Column, moment: Column) -> Column:
     return micros_between(midnight(day), moment)
 
 
-def seconds_of_day(moment: Column) -> Column:
-    return F.hour(moment) * 3600 + F.minute(moment) * 60 + F.second(moment)
-
-
 def run_key(day: Column) -> Column:
     """The ``yyyyMMddHH`` label of a run day."""
     return F.date_format(midnight(day), "yyyyMMddHH")

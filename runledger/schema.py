@@ -39,12 +39,3 @@ LOG_SCHEMA = T.StructType(
         T.StructField("raw", T.StringType()),
     ]
 )
-
-# Columns that name a node. Logs of several schedulers share one table, so
-# owner and repo take part whenever the log carries them.
-NODE_KEYS = ("owner", "repo", "node_path")
-
-
-def node_keys(df) -> list[str]:
-    """The node-naming columns that ``df`` has, in a fixed order."""
-    return [c for c in NODE_KEYS if c in df.columns]
