@@ -7,6 +7,11 @@ near the threshold get an exact distinct count; clear ones keep the estimate's v
 removed everywhere but in its first place (the smallest doc_id, then the first
 line), so that of a text copied all over the corpus one copy stays whole.
 
+Where one source holds much of the corpus, copies of a passage stand on few sites. So
+thresholds may differ by length: ``more`` adds pairs of words and sites, and of the
+pairs whose words a line has, the one with the most words counts. The query
+``op4_line_spread`` has the one threshold of its SQL; the pipeline adds ``LONG``.
+
 Only hashes are shuffled for counting. The documents themselves meet the list of line
 numbers they lose, which for most is empty.
 
@@ -26,40 +31,53 @@ from .common import checkpointed, settled, table
 
 #: A line on so many sites is boilerplate; shorter lines are never judged.
 MIN_SITES, MIN_WORDS = 10, 4
+#: A line of so many words (a passage, hardly chance) is boilerplate on so many sites.
+LONG = ((15, 4),)
 #: Sketches hold 2 ** LG_K registers: a relative standard error of about 1.04 / 2 ** (LG_K / 2).
 LG_K = 12
 #: Estimates within five standard errors of the threshold are counted exactly.
 NEAR = 5 * 1.04 / 2 ** (LG_K / 2)
 
 
-def lines(docs: DataFrame, site: str = "source", min_words: int = MIN_WORDS) -> DataFrame:
-    """``doc_id, place, line, site`` (both hashes) of every line that is judged."""
+def lines(docs: DataFrame, site: str = "source", limits: tuple[tuple[int, int], ...] = ((MIN_WORDS, MIN_SITES),)) -> DataFrame:
+    """``doc_id, place, line, site`` (both hashes) of every line that is judged, and ``need``, the sites that mark it."""
     word = r"[^ \t\n\x0B\f\r]+"
-    enough = rf"^[ \t\x0B\f\r]*({word}[ \t\x0B\f\r]+){{{min_words - 1}}}[^ \t\n\x0B\f\r]"
+    need = F.lit(None).cast("int")
+    for words, sites in sorted(limits):
+        enough = rf"^[ \t\x0B\f\r]*({word}[ \t\x0B\f\r]+){{{words - 1}}}[^ \t\n\x0B\f\r]"
+        need = F.when(F.col("col").rlike(enough), sites).otherwise(need)
     split = docs.filter("text is not null").select(
         "doc_id", F.xxhash64(F.coalesce(F.col(site).cast("string"), F.lit(""))).alias("site"), F.posexplode(F.split("text", "\n", -1))
     )
-    return split.filter(F.col("col").rlike(enough)).select("doc_id", F.col("pos").alias("place"), F.xxhash64("col").alias("line"), "site")
+    named = split.select("doc_id", F.col("pos").alias("place"), F.xxhash64("col").alias("line"), "site", need.alias("need"))
+    return named.filter("need is not null")
 
 
-def boilerplate(found: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
-    """``line, first``: the hashes on at least ``min_sites`` sites, and the first place of each."""
+def boilerplate(found: DataFrame) -> DataFrame:
+    """``line, first``: the hashes on at least ``need`` sites, and the first place of each."""
     place = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "place")))
-    spread = found.groupBy("line").agg(F.hll_sketch_agg("site", LG_K).alias("sketch"), place.alias("first"))
-    spread = spread.select("line", "first", F.hll_sketch_estimate("sketch").alias("sites"))
-    spread = checkpointed(spread.filter(F.col("sites") >= min_sites * (1 - NEAR) - 1))
-    clear = F.col("sites") > min_sites * (1 + NEAR) + 1
-    near = spread.filter(~clear).select("line", "first")
+    spread = found.groupBy("line").agg(F.hll_sketch_agg("site", LG_K).alias("sketch"), place.alias("first"), F.max("need").alias("need"))
+    spread = spread.select("line", "first", "need", F.hll_sketch_estimate("sketch").alias("sites"))
+    spread = checkpointed(spread.filter(F.col("sites") >= F.col("need") * (1 - NEAR) - 1))
+    clear = F.col("sites") > F.col("need") * (1 + NEAR) + 1
+    near = spread.filter(~clear).select("line", "first", "need")
     # One row for each line and site before anything meets by line.
     pairs = found.select("line", "site").distinct()
-    exact = pairs.join(near, "line", "left_semi").groupBy("line").count().filter(F.col("count") >= min_sites)
-    return spread.filter(clear).select("line", "first").unionByName(near.join(exact.select("line"), "line", "left_semi"))
-
-
-def dedup(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES, min_words: int = MIN_WORDS) -> DataFrame:
+    exact = pairs.join(near, "line", "left_semi").groupBy("line").count()
+    exact = near.join(exact, "line").filter("count >= need").select("line", "first")
+    return spread.filter(clear).select("line", "first").unionByName(exact)
+
+
+def dedup(
+    docs: DataFrame,
+    site: str = "source",
+    min_sites: int = MIN_SITES,
+    min_words: int = MIN_WORDS,
+    more: tuple[tuple[int, int], ...] = (),
+) -> DataFrame:
     """``docs`` with ``text`` cleaned, ``n_lines`` before and ``n_removed``."""
-    found = checkpointed(lines(docs, site, min_words))
-    marked = checkpointed(boilerplate(found, min_sites))
+    found = checkpointed(lines(docs, site, ((min_words, min_sites), *more)))
+    marked = checkpointed(boilerplate(found))
     named = found.filter("doc_id is not null").select("line", F.struct("doc_id", "place").alias("at"))
     lost = (
         named.join(marked, "line")
