@@ -80,7 +80,9 @@ class Automaton:
         self.root = tokens + 0.1 * (distinct + 1)
         self.arc = []
         for key, there in _grams(block, order):
-            self.arc.append(np.where(there, totals[np.searchsorted(keys, key)], 0))
+            arc = np.zeros(len(key), np.int64)
+            arc[there] = totals[np.searchsorted(keys, key[there])]
+            self.arc.append(arc)
         starts = block.starts
         ends_seen = self.arc[0][block.ends[0] - 1]
         self.state = []
@@ -116,7 +118,7 @@ class Automaton:
         return score, failed
 
 
-def score(docs: DataFrame, order: int = 2, strength: tuple[float, ...] = STRENGTH) -> DataFrame:
+def score(docs: DataFrame, order: int = 3, strength: tuple[float, ...] = STRENGTH) -> DataFrame:
     """Train on ``docs`` that are not held out and score all of them."""
     if order < 1 or len(strength) < order - 1:
         raise ValueError("one smoothing strength for each order above 1")
