@@ -19,6 +19,7 @@ are packed row by row.
 from __future__ import annotations
 
 import base64
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -35,12 +36,19 @@ SLACKS = (0, 1, 2, 3, 4, 6, 8, 12, 16, 24, 32)
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 SPECIAL = "<|endoftext|>"  # fixed value: the vocabulary's only special string, id 50256
 SPECIAL_ID = 50256
+#: What the pattern's \s matches. tiktoken's matcher backtracks over a run of it and fails beyond about
+#: 700,000 characters, so runs of LONG_RUN characters or more are cut out before.
+SPACES = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
+LONG_RUN = 100_000
 
 _ENCODERS: dict = {}
 
 
 def encoder(path: str):
-    """Text to ids as the tokenizers library gives them; ``path`` is the rank file of the vocabulary."""
+    """Text to ids as the tokenizers library gives them with ``byte_bpe_50k.json``.
+
+    They come from tiktoken instead, with the same vocabulary as the rank file at ``path``.
+    """
     if path not in _ENCODERS:
         import public_tokenizers
         import tiktoken
@@ -51,9 +59,27 @@ def encoder(path: str):
         _ENCODERS[path] = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={SPECIAL: SPECIAL_ID})
     plain = _ENCODERS[path]
 
+    def with_long_runs(text: str) -> list[int]:
+        out = []
+        for k, part in enumerate(text.split(SPECIAL)):
+            if k:
+                out.append(SPECIAL_ID)
+            at = 0
+            for run in SPACES.finditer(part):
+                if run.end() - run.start() >= LONG_RUN:
+                    # The pattern takes a run as one piece, but for its last character where more text follows.
+                    stop = run.end() - (run.end() < len(part))
+                    out += plain.encode_ordinary(part[at : run.start()])
+                    out += plain._encode_single_piece(part[run.start() : stop])
+                    at = stop
+            out += plain.encode_ordinary(part[at:])
+        return out
+
     def ids(text: str | None) -> list[int]:
         if not text:
             return []
+        if len(text) >= LONG_RUN:
+            return with_long_runs(text)
         if SPECIAL in text:
             return plain.encode(text, allowed_special={SPECIAL}, disallowed_special=())
         return plain.encode_ordinary(text)
