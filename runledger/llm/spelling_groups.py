@@ -212,10 +212,13 @@ def best_neighbours(words: DataFrame) -> DataFrame:
         here = here.assign(turned=here["word"].map(turn)).sort_values("turned")
         names, counts = here["word"].to_numpy(), here["n"].to_numpy(np.int64)
         asking = group[group["asks"]].drop_duplicates("word")["word"].tolist()
+        nothing = pd.DataFrame({"word": pd.Series([], dtype=object), "near": [], "best": pd.Series([], dtype=object), "best_n": []})
         if not len(names) or not asking:
-            return pd.DataFrame({"word": [], "near": [], "best": [], "best_n": []})
+            return nothing
         exact = [len(w) - len(w) // 2 if side == 0 else len(w) // 2 for w in asking]
         q, at = neighbours(FMIndex(here["turned"].tolist()), [turn(w) for w in asking], exact, side == 1)
+        if not len(q):
+            return nothing
         order = np.argsort(np.argsort(names))  # numpy orders these as Python strings do
         by = np.lexsort((order[at], -counts[at], q))
         q, at = q[by], at[by]
