@@ -11,8 +11,6 @@ from ..functions.predicate import as_day
 from ..schema import LOG_SCHEMA
 from .grammar import keep_records, parse_ecflow, parse_sms
 
-TABLE_KEYS = ("owner", "repo", "log_date")
-
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """``file_path, value, block, at`` of text files; ``at`` orders the lines of a block."""
@@ -42,19 +40,19 @@ def with_line_no(lines: DataFrame) -> DataFrame:
     return lines.join(starts, keys).withColumn("line_no", F.col("start") + F.col("at") - F.col("first")).drop("first", "start")
 
 
-def with_log_date(records: DataFrame) -> DataFrame:
+def with_log_date(records: DataFrame, known: str | None = None) -> DataFrame:
     """``log_date``: the date of the nearest dated line at or before it in the file (else the first one).
 
-    Blocks give their last date, which is carried over to the blocks behind them.
+    Blocks give their last date, which is carried over to the blocks behind them. ``known``: a column with the date
+    that a file's lines before these have ended with, where these are not a file's first.
     """
     keys = ["file_path", "block"]
-    last = records.groupBy(*keys).agg(F.max_by("record_date", F.when(F.col("record_date").isNotNull(), F.col("line_no"))).alias("d"))
+    dated = F.when(F.col("record_date").isNotNull(), F.col("line_no"))
+    at_start = F.lit(None).cast("date") if known is None else F.first(known, True)
+    ends = records.groupBy(*keys).agg(F.max_by("record_date", dated).alias("d"), F.min_by("record_date", dated).alias("f"), at_start.alias("k"))
     before = Window.partitionBy("file_path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     after = Window.partitionBy("file_path").orderBy("block").rowsBetween(0, Window.unboundedFollowing)
-    first = records.groupBy(*keys).agg(F.min_by("record_date", F.when(F.col("record_date").isNotNull(), F.col("line_no"))).alias("f"))
-    ahead = last.join(first, keys).select(
-        *keys, F.coalesce(F.last("d", True).over(before), F.first("f", True).over(after)).alias("ahead")
-    )
+    ahead = ends.select(*keys, F.coalesce(F.last("d", True).over(before), "k", F.first("f", True).over(after)).alias("ahead"))
     inside = Window.partitionBy(*keys).orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
     carried = records.join(ahead, keys).withColumn("log_date", F.last("record_date", True).over(inside))
     return carried.withColumn("log_date", F.coalesce("log_date", "ahead")).drop("ahead")
@@ -90,32 +88,33 @@ def parse_file(spark: SparkSession, path: str, owner: str, repo: str, version_id
     return keep_records(named).select(*LOG_SCHEMA.fieldNames(), "log_date")
 
 
-def write_records(records: DataFrame, out: str, mode: str = "append") -> None:
-    """Into the record table: partitions of a repo and day, sorted by node and time within files."""
-    order = ["log_date", "node_path", "ts"]
-    laid = records.repartitionByRange(*[F.col(c) for c in order]).sortWithinPartitions(*order)
-    laid.write.mode(mode).partitionBy(*TABLE_KEYS).parquet(out)
+def ingest_logs(spark: SparkSession, path: str, owner: str, repo: str, version_id: str, out: str) -> int:
+    """Load what a file, or a folder's files, have that the version lacks; the number of lines. Again: nothing."""
+    return _store(spark, out).load(path, owner, repo, version_id)
 
 
-def ingest_logs(spark: SparkSession, path: str, owner: str, repo: str, version_id: str, out: str) -> None:
-    write_records(parse_file(spark, path, owner, repo, version_id), out)
+def ingest_range(spark: SparkSession, path: str, owner: str, repo: str, version_id: str, start, stop, out: str, zones: DataFrame | None = None) -> None:
+    """Replace the days of a half-open range in a version; other days stay. A zone map of the files spares their other days."""
+    _store(spark, out).load_days(path, owner, repo, version_id, start, stop, zones)
 
 
-def ingest_range(spark: SparkSession, path: str, owner: str, repo: str, version_id: str, start, stop, out: str) -> None:
-    """Replace the days of a half-open range; other days of the table stay."""
-    records = in_range(parse_file(spark, path, owner, repo, version_id), start, stop)
-    order = ["log_date", "node_path", "ts"]
-    laid = records.repartitionByRange(*[F.col(c) for c in order]).sortWithinPartitions(*order)
-    laid.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*TABLE_KEYS).parquet(out)
+def ingest_incremental(records: DataFrame, spark: SparkSession, out: str) -> int:
+    """Add the records behind the last committed line of their version; the number of versions that had some.
 
-
-def ingest_incremental(records: DataFrame, spark: SparkSession, out: str) -> None:
-    write_records(incremental_rows(records, spark.read.parquet(out)), out)
+    What is committed is known from the commit records, so the table is not read.
+    """
+    return _store(spark, out).add_behind(records)
 
 
 def record_table(spark: SparkSession, out: str, owner: str, repo: str) -> DataFrame:
-    """One repo's records; the equality prunes partitions."""
-    return spark.read.parquet(out).filter((F.col("owner") == owner) & (F.col("repo") == repo))
+    """One repo's records; files of other repos are not opened."""
+    return _store(spark, out).read(owner, repo)
+
+
+def _store(spark: SparkSession, out: str):
+    from .loads import RecordStore  # which builds on this module
+
+    return RecordStore(spark, out)
 
 
 def import_records_csv(spark: SparkSession, path: str) -> DataFrame:
