@@ -176,6 +176,16 @@ lines AS (SELECT line_no, n, date_trunc('second', ts) AS cut, CASE n {line} WHEN
 parsed AS (SELECT *, CASE WHEN n < {n} THEN cut END AS t FROM lines)"""
 
 
+def _files() -> str:
+    """Lines of the files, numbered, with the day that they belong to."""
+    return f"""{_lines()},
+filed AS (SELECT p.*, substr(s.node_path, 2, 6) || '-' || (day(s.ts) // 10) AS file, row_number() OVER (PARTITION BY substr(s.node_path, 2, 6), day(s.ts) // 10
+            ORDER BY s.ts, s.line_no) - 1 AS no FROM parsed p JOIN src s USING (line_no)),
+days AS (SELECT *, coalesce(last_value(CAST(t AS DATE) IGNORE NULLS) OVER (PARTITION BY file ORDER BY no ROWS UNBOUNDED PRECEDING),
+            first_value(CAST(t AS DATE) IGNORE NULLS) OVER (PARTITION BY file ORDER BY no ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS log_date FROM filed),
+kept AS (SELECT file, no AS line_no, log_date, record_type, {T.format('t')} AS ts, cmd AS command, path AS node_path, info FROM days WHERE starts_with(value, '#') OR no = 0)"""
+
+
 _HEADS = f"""{WITH},
 v AS (SELECT *, CAST(regexp_extract(node_path, '^/suite([0-9]+)', 1) AS BIGINT) AS repo_id FROM slog)"""
 
@@ -272,4 +282,7 @@ ORACLES = {
         SELECT * FROM k WHERE regexp_matches(row_key, '^[0-7].*-659[0-9a-f]{{5}}$')""",
     "records_as_json": f"""{WITH} SELECT '{{"line_no":' || line_no || ',"node_path":"' || node_path || '","command":"' || command || '"'
         || CASE WHEN info IS NULL THEN '' ELSE ',"info":"' || info || '"' END || '}}' AS json FROM slog WHERE {TASK}""",
+    "load_resumes": f"{_files()} SELECT * FROM kept",
+    "load_days": f"{_files()} SELECT * FROM kept WHERE log_date >= DATE '2024-01-08' AND log_date < DATE '2024-01-22'",
+    "stream_tail": f"{_files()} SELECT * EXCLUDE (log_date) FROM kept",
 }

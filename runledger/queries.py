@@ -5,7 +5,6 @@ Timestamps leave as text, durations as whole microseconds.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -16,7 +15,9 @@ from . import streaming
 from .functions.clock import format_clock
 from .functions.predicate import in_date_range
 from .operators import daily, nodes, reports, runs, versions
-from .sources import grammar, ingest, sinks
+from .sources import grammar, ingest, lines, sinks, zones
+from .sources.loads import RecordStore
+from .sources.storage import shared_folder
 
 START, STOP = "2024-01-01", "2024-01-31"
 TASKS, FAMILIES = "node_type = 'task'", "node_type = 'family'"
@@ -316,8 +317,7 @@ def records_as_json(spark, sf_dir):
 
 def _streamed(spark, sf_dir, run) -> DataFrame:
     """What ``run(log stream, table, out, checkpoint)`` leaves in ``out``; all in the folder that executors share."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="runledger-")
-    top = f"{shared.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    top = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
     schema = events(spark, sf_dir).schema
     # A pattern, since a stream takes a plain path for a folder, and the table may be one file.
     stream = log_of(spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]"))
@@ -335,6 +335,75 @@ def stream_situations(spark, sf_dir):
     return _texts(out.drop("bucket"))
 
 
+class _Logs:
+    """Log files rendered from events, one for each suite and ten days, in the order of time; they grow."""
+
+    def __init__(self, spark, sf_dir):
+        self.spark, self.top = spark, f"{shared_folder(spark)}/logs-{uuid.uuid4().hex}"
+        rendered = _lines(spark, sf_dir).select("line_no", "value").join(tasks(spark, sf_dir).select("line_no", "ts", "node_path"), "line_no")
+        rendered = rendered.withColumn("file", F.concat(F.substring("node_path", 2, 6), F.lit("-"), F.floor(F.dayofmonth("ts") / 10).cast("string")))
+        rendered = rendered.repartition("file").sortWithinPartitions("file", "ts", "line_no")
+        rendered.select("value", "file").write.partitionBy("file").text(f"{self.top}/written")
+
+    def grow(self, part: int, parts: int) -> str:
+        """The folder of the files, of which so much is written by now, wherever that cuts a line."""
+        made = lines.list_files(f"{self.top}/written")
+        rows = [(path, f"{self.top}/logs/{path.split('file=')[1].split('/')[0]}.log", size * part // parts) for path, size in made.items()]
+        files = self.spark.createDataFrame(rows, "path string, target string, size long").repartition(max(1, len(rows)))
+
+        def copy(batches):
+            for b in batches:
+                for path, target, size in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                    lines.copy_start(path, target, size)
+                yield b
+
+        files.mapInArrow(copy, files.schema).write.format("noop").mode("overwrite").save()
+        return f"{self.top}/logs"
+
+
+def _loaded(store: RecordStore) -> DataFrame:
+    name = F.regexp_extract("file_path", "([^/]*)[.]log$", 1)
+    return _texts(store.read("me", "r").select(name.alias("file"), "line_no", "log_date", "record_type", "ts", "command", "node_path", "info"))
+
+
+def load_resumes(spark, sf_dir):
+    """Files that grow between loads; one load is sent twice, and rows of a torn one lie about."""
+    logs = _Logs(spark, sf_dir)
+    store = RecordStore(spark, f"{logs.top}/table")
+    for part in (1, 1, 3):
+        store.load(logs.grow(part, 3), "me", "r", "v", closed=part == 3)
+    store._stage(store.read())
+    return _loaded(store)
+
+
+def load_days(spark, sf_dir):
+    """Twice some days, by a zone map; only zones of these days are read."""
+    logs = _Logs(spark, sf_dir)
+    folder = logs.grow(1, 1)
+    store = RecordStore(spark, f"{logs.top}/table")
+    zones.zone_map(spark, folder, grammar.parse_sms, zone_bytes=1 << 16).write.parquet(f"{logs.top}/zones")
+    found = spark.read.parquet(f"{logs.top}/zones")
+    for start, stop in (("2024-01-08", "2024-01-13"), ("2024-01-11", "2024-01-22")):
+        store.load_days(folder, "me", "r", "v", start, stop, found)
+    return _loaded(store)
+
+
+def stream_tail(spark, sf_dir):
+    """A stream that follows growing files, started anew from its checkpoint each time that they have grown."""
+    logs = _Logs(spark, sf_dir)
+    store = RecordStore(spark, f"{logs.top}/table")
+
+    def add(batch: DataFrame, number: int) -> None:
+        parsed = grammar.keep_records(grammar.parse_sms(batch)).withColumnsRenamed({"value": "raw"})
+        named = parsed.select("*", F.lit("me").alias("owner"), F.lit("r").alias("repo"), F.lit("v").alias("version_id"), F.col("record_date").alias("log_date"))
+        store.add(named, "me", "r", "v", "tail", number)
+
+    for part in (1, 2, 2, 3):
+        stream = lines.tail(spark, logs.grow(part, 3)).writeStream.foreachBatch(add)
+        stream.option("checkpointLocation", f"{logs.top}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return _loaded(store).drop("log_date")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -343,6 +412,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         time_period_summary, late_runs, model_run_report, trimmed_mean_value, task_situation_daily, complete_by_rule,
         family_situation_daily, run_timeline, node_tree, node_types, node_exists, parse_sms, parse_ecflow, pre_filter, log_file_info,
         register_versions, incremental_rows, resolve_repo, upsert_dim, export_keyed, scan_by_key, records_as_json,
-        stream_run_windows, stream_situations,
+        stream_run_windows, stream_situations, load_resumes, load_days, stream_tail,
     )
 }

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import json
 import os
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -51,6 +52,20 @@ def list_files(folder: str) -> dict[str, int]:
     return {head + f.path: f.size for f in sorted(found, key=lambda f: f.path) if f.type == files.FileType.File and not hidden(f.path)}
 
 
+def copy_start(path: str, target: str, size: int) -> None:
+    """The first ``size`` bytes of a file in place of the target, which changes at once or not at all."""
+    system, name = file_system(path)
+    other, into = file_system(target)
+    other.create_dir(into.rsplit("/", 1)[0], recursive=True)
+    half = f"{into.rsplit('/', 1)[0]}/._{uuid.uuid4().hex}"
+    with system.open_input_file(name) as f, other.open_output_stream(half) as out:
+        while size:
+            data = f.read(min(READ_BYTES, size))
+            out.write(data)
+            size -= len(data)
+    other.move(half, into)
+
+
 def read_range(path: str, start: int, stop: int, line_no: int) -> Iterator[pa.RecordBatch]:
     """The lines of ``[start, stop)``, which begins and ends at line starts (or at the file's end)."""
     system, name = file_system(path)

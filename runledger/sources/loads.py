@@ -29,6 +29,8 @@ from .grammar import keep_records, parse_sms
 from .ingest import in_range, with_log_date
 
 ORDER = ["log_date", "node_path", "ts"]
+#: Bytes of log for each task that a day's nodes are dealt to, were all of one day.
+DAY_BYTES = 256 << 20
 SCHEMA = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in LOG_SCHEMA.fields) + ", log_date date"
 
 
@@ -76,9 +78,11 @@ class RecordStore:
 
     # ---- loads ----------------------------------------------------------------------------------------------------
 
-    def _stage(self, records: DataFrame) -> str:
+    def _stage(self, records: DataFrame, size: int = 0) -> str:
         attempt = uuid.uuid4().hex
-        laid = records.repartitionByRange(*[F.col(c) for c in ORDER]).sortWithinPartitions(*ORDER)
+        # By hash: ranges would be sampled first, which reads and parses everything once more.
+        dealt = records.repartition("log_date", F.pmod(F.xxhash64("node_path"), F.lit(1 + size // DAY_BYTES)))
+        laid = dealt.sortWithinPartitions(*ORDER)
         laid.write.partitionBy("log_date").parquet(f"{self.folder}/attempts/attempt={attempt}")
         return attempt
 
@@ -120,7 +124,7 @@ class RecordStore:
         ranges = self.spark.read.schema(lines.RANGE_SCHEMA).parquet(planned)
         counts = {r.file_path: r.n for r in ranges.groupBy("file_path").agg(F.sum("lines").alias("n")).collect()}  # a row a file
         tasks = sum(-(-(stop - a) // block_bytes) for a, _, stop in wanted.values())
-        attempt = self._stage(self._records(ranges, owner, repo, version_id, days, tasks))
+        attempt = self._stage(self._records(ranges, owner, repo, version_id, days, tasks), sum(stop - a for a, _, stop in wanted.values()))
         staged = self._attempt(attempt)
         last = {r.file_path: r.d for r in staged.groupBy("file_path").agg(F.max_by("log_date", "line_no").alias("d")).collect()}
         files = {}
@@ -145,7 +149,7 @@ class RecordStore:
         else:
             mine = zones.filter(F.col("file_path").isin(*sizes) & (F.col("first_day") < as_day(end)) & (F.col("last_day") >= as_day(first)))
             records = self._records_of_zones(mine, owner, repo, version_id)
-        attempt = self._stage(in_range(records, first, end).select(*LOG_SCHEMA.fieldNames(), "log_date"))
+        attempt = self._stage(in_range(records, first, end).select(*LOG_SCHEMA.fieldNames(), "log_date"), sum(sizes.values()))
         days = [first.isoformat(), end.isoformat()]
         key = _key(owner, repo, version_id)
         self._commit(known, {"kind": "range", "key": key, "owner": owner, "repo": repo, "version": version_id, "attempt": attempt, "days": days})
@@ -227,7 +231,8 @@ class RecordStore:
         known = self.commits()
         if not known:
             return
-        attempt = self._stage(self.read())
+        size = sum(f["byte"] for v in self._versions(known).values() for f in v["files"].values())
+        attempt = self._stage(self.read(), size)
         self._commit(known, {"kind": "compact", "attempt": attempt, "versions": self._versions(known)})
 
     def sweep(self) -> int:
