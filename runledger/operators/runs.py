@@ -2,13 +2,13 @@
 
 A record's date and the one after make a day's window. The two built-in machines are
 written as windows over ``(node_path, run_date)``, which spill; any other machine
-is a transition table folded over a node's window (:func:`situations_by_table`).
+is a transition table, whose statuses are composed as maps (:func:`situations_by_table`).
 Records of one node are ordered by ``(ts, line_no)``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
@@ -162,44 +162,114 @@ FAMILY_TABLE = Table(
 )
 
 
-def situations_by_table(log: DataFrame, start, stop, table: Table, earliest_time=None) -> DataFrame:
+#: Records of a node's window from which it is cut into ranges that are composed apart.
+CROWDED = 100_000
+#: States that fit into a long, four bits each.
+PACKED_STATES = 16
+
+
+def _maps(table: Table) -> tuple[list[str], dict[str, list[int]]]:
+    """The states in order, the initial one first, and for each status the number of the state that follows each state."""
+    states = [table.initial, *table.stops, *table.moves, *(s for m in table.moves.values() for s in m.values())]
+    states = list(dict.fromkeys(states))
+    place = {s: k for k, s in enumerate(states)}
+    statuses = dict.fromkeys(c for m in table.moves.values() for c in m)
+    after = {c: [place[s if s in table.stops else table.moves.get(s, {}).get(c, s)] for s in states] for c in statuses}
+    return states, after
+
+
+def compose(first: Column, then: Column, states: int) -> Column:
+    """The map that does what ``first`` and ``then`` do one after the other; maps of up to 16 states are longs, others arrays."""
+    if states > PACKED_STATES:
+        return F.transform(first, lambda s: F.get(then, s))
+    out = None
+    for k in range(states):
+        at = F.shiftright(first, 4 * k).bitwiseAND(F.lit(15))
+        to = F.call_function("shiftright", then, (at * 4).cast("int")).bitwiseAND(F.lit(15))
+        part = F.shiftleft(to, 4 * k)
+        out = part if out is None else out.bitwiseOR(part)
+    return out
+
+
+def _as_map(after: list[int]) -> Column:
+    if len(after) > PACKED_STATES:
+        return F.array(*map(F.lit, after))
+    packed = sum(s << (4 * k) for k, s in enumerate(after))
+    return F.lit(packed - (1 << 64) if packed >= 1 << 63 else packed).cast("bigint")
+
+
+def cut(records: DataFrame, n: int, size: int) -> DataFrame:
+    """``records`` (``n`` of them) in ranges of about ``size`` by window, time and line; ``part`` numbers them in order."""
+    # A number of its own, since Spark would join ranges that have few bytes.
+    return records.repartitionByRange(n // size + 1, *RUN, "ts", "line_no").withColumn("part", F.spark_partition_id())
+
+
+def situations_by_table(log: DataFrame, start, stop, table: Table, earliest_time=None, crowded: int = CROWDED) -> DataFrame:
     """``node_path, run_date, situation`` by a transition table of the caller.
 
-    The table becomes one fold over a node's window, gathered as an array: a machine of
-    any kind needs the whole order. A window holds one node's records of two days.
+    A status is a map of states to states, and maps compose associatively. So a window with very many records is cut
+    into ranges of (time, line), each is composed to one map by itself, and these few maps are composed in order.
+    A window with fewer is composed at once. Whatever the size, what is gathered for a task is bounded.
     """
+    states, after = _maps(table)
+    n = len(states)
     placed = assign_run_window(status_changes(log), start, stop, earliest_time)
-    windows = placed.groupBy(*RUN).agg(F.sort_array(F.collect_list(F.struct("ts", "line_no", "command"))).alias("w"))
-
-    def move(state: Column, change: Column) -> Column:
-        out = state
-        for name, moves in table.moves.items():
-            if name in table.stops:
-                continue
-            for status, after in moves.items():
-                out = F.when((state == name) & (change["command"] == status), F.lit(after)).otherwise(out)
-        return out
-
-    folded = windows.select(*RUN, F.aggregate("w", F.lit(table.initial), move).alias("situation"))
+    status = F.col("command")
+    step = None
+    for name, moves in after.items():
+        step = F.when(status == name, _as_map(moves)) if step is None else step.when(status == name, _as_map(moves))
+    nothing = calendar(log, start, stop).withColumn("situation", F.lit(table.initial))
+    if step is None:
+        return nothing
+    steps = placed.filter(status.isin(*after)).select(*RUN, "ts", "line_no", step.alias("m"))
+    identity = _as_map(list(range(n)))
+
+    def composed(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+        listed = rows.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(*order, "m"))).alias("w"))
+        return listed.select(*keys, F.aggregate("w", identity, lambda f, x: compose(f, x["m"], n)).alias("m"))
+
+    # At most a row for every ``crowded`` records.
+    hot = steps.groupBy(*RUN).count().filter(F.col("count") > crowded)
+    n_hot = hot.agg(F.sum("count")).first()[0]
+    if not n_hot:
+        whole = composed(steps, list(RUN), ["ts", "line_no"])
+    else:
+        parts = composed(cut(steps.join(hot, list(RUN), "left_semi"), n_hot, crowded), [*RUN, "part"], ["ts", "line_no"])
+        whole = composed(steps.join(hot, list(RUN), "left_anti"), list(RUN), ["ts", "line_no"]).unionByName(composed(parts, list(RUN), ["part"]))
+    end = F.get("m", F.lit(0)) if n > PACKED_STATES else F.col("m").bitwiseAND(F.lit(15))
+    names = F.array(*map(F.lit, states))
+    folded = whole.select(*RUN, F.get(names, end.cast("int")).alias("situation"))
     return calendar(log, start, stop).join(folded, list(RUN), "left").withColumn("situation", F.coalesce("situation", F.lit(table.initial)))
 
 
 def situations_by_function(log: DataFrame, start, stop, step: Callable[[str, str], str], initial: str = "Initial", stops=(), earliest_time=None) -> DataFrame:
     """``node_path, run_date, situation`` by ``step(state, status)``, for machines that no table can state.
 
-    Runs Python for each window (one node's records of two days), so a table is to be preferred.
+    Windows are dealt by hash and sorted by Spark, which spills; Python goes over the sorted rows in Arrow batches and
+    carries one state, so no window has to fit into memory. A table is to be preferred: it needs no Python.
     """
     placed = assign_run_window(status_changes(log), start, stop, earliest_time)
-
-    def run(window: pd.DataFrame) -> pd.DataFrame:
-        state = initial
-        for status in window.sort_values(["ts", "line_no"])["command"]:
-            state = step(state, status)
-            if state in stops:
-                break
-        return window[list(RUN)].head(1).assign(situation=state)
-
-    found = placed.groupBy(*RUN).applyInPandas(run, "node_path string, run_date date, situation string")
+    ordered = placed.select(*RUN, "ts", "line_no", "command").repartition(*RUN).sortWithinPartitions(*RUN, "ts", "line_no").select(*RUN, "command")
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, state, out = None, initial, []
+        for f in frames:
+            for node, day, status in zip(f["node_path"].tolist(), f["run_date"].tolist(), f["command"].tolist(), strict=True):
+                if (node, day) != key:
+                    if key is not None:
+                        out.append((*key, state))
+                    key, state = (node, day), initial
+                if state not in stops:
+                    state = step(state, status)
+            if len(out) >= 10_000:
+                yield pd.DataFrame(out, columns=[*RUN, "situation"])
+                out = []
+        if key is not None:
+            out.append((*key, state))
+        if out:
+            yield pd.DataFrame(out, columns=[*RUN, "situation"])
+
+    found = ordered.mapInPandas(run, "node_path string, run_date date, situation string")
     return calendar(log, start, stop).join(found, list(RUN), "left").withColumn("situation", F.coalesce("situation", F.lit(initial)))
 
 
