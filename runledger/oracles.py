@@ -285,4 +285,6 @@ ORACLES = {
     "load_resumes": f"{_files()} SELECT * FROM kept",
     "load_days": f"{_files()} SELECT * FROM kept WHERE log_date >= DATE '2024-01-08' AND log_date < DATE '2024-01-22'",
     "stream_tail": f"{_files()} SELECT * EXCLUDE (log_date) FROM kept",
+    "stream_machine": f"{_situations(TASK, 'task')} {SIT}",
+    "stream_fold": f"{_situations(TASK, 'task')} SELECT node_path, run_date, situation FROM sit",
 }

@@ -18,6 +18,7 @@ from .operators import daily, nodes, reports, runs, versions
 from .sources import grammar, ingest, lines, sinks, zones
 from .sources.loads import RecordStore
 from .sources.storage import shared_folder
+from .streaming import machine
 
 START, STOP = "2024-01-01", "2024-01-31"
 TASKS, FAMILIES = "node_type = 'task'", "node_type = 'family'"
@@ -404,6 +405,24 @@ def stream_tail(spark, sf_dir):
     return _loaded(store).drop("log_date")
 
 
+def stream_machine(spark, sf_dir):
+    """Events that come in two parts, each with half of the events of all days, so that those of the second are late."""
+    top = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+    log = tasks(spark, sf_dir).drop("node_type")
+    for part in (1, 0):
+        log.filter(F.floor(F.col("line_no") / 2) % 2 == part).write.mode("append").parquet(f"{top}/in/{part}")
+        stream = spark.readStream.schema(log.schema).parquet(f"{top}/in/*")
+        for query in machine.stream_machine(stream, f"{top}/table", f"{top}/updates", f"{top}/checkpoint"):
+            query.awaitTermination()
+    return _texts(machine.settled(spark, f"{top}/table", f"{top}/updates", START, STOP))
+
+
+def stream_fold(spark, sf_dir):
+    """A machine that is a function, folded over sorted batches."""
+    table = runs.TASK_TABLE
+    return runs.situations_by_function(tasks(spark, sf_dir), START, STOP, lambda state, status: table.moves[state].get(status, state), stops=table.stops)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -412,6 +431,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         time_period_summary, late_runs, model_run_report, trimmed_mean_value, task_situation_daily, complete_by_rule,
         family_situation_daily, run_timeline, node_tree, node_types, node_exists, parse_sms, parse_ecflow, pre_filter, log_file_info,
         register_versions, incremental_rows, resolve_repo, upsert_dim, export_keyed, scan_by_key, records_as_json,
-        stream_run_windows, stream_situations, load_resumes, load_days, stream_tail,
+        stream_run_windows, stream_situations, load_resumes, load_days, stream_tail, stream_machine, stream_fold,
     )
 }
