@@ -181,7 +181,7 @@ class Codec:
         return tuple([token for _, token in greedy])
 
     def _chunk(self, chunk: str) -> tuple[int, ...]:
-        pieces, ids = self.pieces, ()
+        pieces, found = self.pieces, []
         for piece in self.pattern.findall(chunk):
             got = pieces.get(piece)
             if got is None:
@@ -190,7 +190,8 @@ class Codec:
                     if len(pieces) >= MEMO:
                         pieces.clear()
                     pieces[piece] = got
-            ids += got
+            found.extend(got)
+        ids = tuple(found)
         if len(chunk) < 64:
             if len(self.memo) >= MEMO:
                 self.memo.clear()
