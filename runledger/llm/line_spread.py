@@ -8,9 +8,9 @@ removed everywhere but in its first place (the smallest doc_id, then the first
 line), so that of a text copied all over the corpus one copy stays whole.
 
 Where one source holds much of the corpus, copies of a passage stand on few sites. So
-thresholds may differ by length: ``more`` adds pairs of words and sites, and of the
-pairs whose words a line has, the one with the most words counts. The query
-``op4_line_spread`` has the one threshold of its SQL; the pipeline adds ``LONG``.
+thresholds differ by length: ``more`` adds pairs of words and sites, and of the
+pairs whose words a line has, the one with the most words counts. The query and the
+pipeline add ``MORE``: a long line needs few sites, one of less than ``MIN_WORDS`` words many.
 
 Only hashes are shuffled for counting. The documents themselves meet the list of line
 numbers they lose, which for most is empty.
@@ -18,7 +18,7 @@ numbers they lose, which for most is empty.
 Defined cases: a null text stays null and counts no lines; an empty line, and one
 of fewer than ``min_words`` words, always stays; a null source counts as the empty one.
 Rows that repeat a doc_id lose the same line numbers. Rows with a null doc_id stay as
-they are, though their lines count. Extra columns are carried along; ones named ``n_lines`` or
+they are, though their lines count. Extra columns are carried along, whatever their names; ones named ``n_lines`` or
 ``n_removed`` are replaced.
 """
 
@@ -29,10 +29,10 @@ from pyspark.sql import functions as F
 
 from .common import checkpointed, settled, table
 
-#: A line on so many sites is boilerplate; shorter lines are never judged.
+#: A line of so many words on so many sites is boilerplate.
 MIN_SITES, MIN_WORDS = 10, 4
-#: A line of so many words (a passage, hardly chance) is boilerplate on so many sites.
-LONG = ((15, 4),)
+#: Words and sites: a passage, hardly chance, needs few sites; a line of one to three words, often chance, needs many.
+MORE = ((15, 4), (1, 16))
 #: Sketches hold 2 ** LG_K registers: a relative standard error of about 1.04 / 2 ** (LG_K / 2).
 LG_K = 12
 #: Estimates within five standard errors of the threshold are counted exactly.
@@ -85,7 +85,10 @@ def dedup(
         .groupBy(F.col("at.doc_id").alias("doc_id"))
         .agg(F.collect_set("at.place").alias("_lost"))
     )
-    out = docs.join(lost, "doc_id", "left").withColumn("_lines", F.split("text", "\n", -1))
+    # What is not used here stays in a struct, so that no name of it can clash.
+    rest = [c for c in docs.columns if c not in ("text", "n_lines", "n_removed")]
+    out = docs.select(F.struct(*[F.col(f"`{c}`") for c in rest]).alias("_rest"), "doc_id", "text").join(lost, "doc_id", "left")
+    out = out.withColumn("_lines", F.split("text", "\n", -1))
     kept = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_lost"))
     out = out.withColumn("_kept", F.when(F.col("_lost").isNotNull(), kept))
     clean = F.array_join(F.transform("_kept", lambda i: F.get("_lines", i)), "\n")
@@ -97,21 +100,22 @@ def dedup(
         n_lines.alias("n_lines"),
         F.when(changed, removed).otherwise(F.lit(0)).cast("long").alias("n_removed"),
     )
-    rest = [c for c in docs.columns if c not in ("text", "n_lines", "n_removed")]
-    return out.select(*rest, settled(result).alias("_r")).select(*rest, "_r.text", "_r.n_lines", "_r.n_removed")
+    names = [F.col("_rest").getField(c).alias(c) for c in rest]
+    return out.select("_rest", settled(result).alias("_r")).select(*names, "_r.text", "_r.n_lines", "_r.n_removed")
 
 
 def op4_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return dedup(docs).select("doc_id", "n_lines", "n_removed", "text")
+    return dedup(docs, more=MORE).select("doc_id", "n_lines", "n_removed", "text")
 
 
 ORACLE = r"""
 WITH l AS (SELECT doc_id, coalesce(source, '') AS site, unnest(string_split(text, chr(10))) AS line,
              generate_subscripts(string_split(text, chr(10)), 1) AS place
            FROM documents WHERE text IS NOT NULL),
-long AS (SELECT * FROM l WHERE len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) >= 4),
-marked AS (SELECT line, min((doc_id, place)) AS first FROM long GROUP BY line HAVING count(DISTINCT site) >= 10),
+w AS (SELECT *, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words FROM l),
+marked AS (SELECT line, min((doc_id, place)) AS first FROM w WHERE words > 0 GROUP BY line, words
+  HAVING count(DISTINCT site) >= CASE WHEN words >= 15 THEN 4 WHEN words >= 4 THEN 10 ELSE 16 END),
 kept AS (SELECT l.doc_id, l.place, l.line, m.line IS NOT NULL AND (l.doc_id, l.place) <> m.first AS lost
          FROM l LEFT JOIN marked m ON l.line = m.line),
 back AS (SELECT doc_id, count(*) AS n_lines, sum(lost::BIGINT) AS n_removed,
