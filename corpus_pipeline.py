@@ -25,7 +25,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without cross-site boilerplate; a document of nothing else goes, its first copy stays whole."""
-    clean = line_spread.dedup(docs.select(*COLUMNS), more=line_spread.LONG)
+    clean = line_spread.dedup(docs.select(*COLUMNS), more=line_spread.MORE)
     emptied = (F.col("n_removed") > 0) & (F.length(F.btrim("text", F.lit(rule_ledger.SPACE))) == 0)
     return clean.filter(~F.coalesce(emptied, F.lit(False))).select(
         "doc_id", "text", "lang", "source", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")).alias("n_chars")
