@@ -9,7 +9,9 @@ through one vectorised binary search, and each hit is confirmed against the stor
 string, since two strings may share a digest.
 
 The file is sent by ``SparkContext.addFile`` and must stay below ``MAX_BYTES``; larger rule
-tables are joined by key instead (:func:`judge_by_join`), which needs no bound.
+tables are joined by key instead (:func:`judge_by_join`), which needs no bound. Rules may be a list or a
+DataFrame (``host, path, action``), which reaches the driver only where it is below the bound. Both ways answer alike: the longest rule wins; of rules as long, the one with the
+longer host; and of a rule that is given with both actions, block.
 
 A null url, or one without ``://``, has an empty host and path, which no rule fits.
 Repeated rows are judged alike; extra columns are carried along.
@@ -79,8 +81,11 @@ class DigestArray:
 
     @staticmethod
     def packed(entries: Iterable[tuple[bytes, int]]) -> bytes:
-        """The file of ``(key, value)``. A repeated key keeps its last value."""
-        rows = sorted((xxhash.xxh64_intdigest(k), k, v) for k, v in dict(entries).items())
+        """The file of ``(key, value)``. A repeated key keeps its greatest value."""
+        kept: dict[bytes, int] = {}
+        for k, v in entries:
+            kept[k] = max(v, kept.get(k, v))
+        rows = sorted((xxhash.xxh64_intdigest(k), k, v) for k, v in kept.items())
         parts = (
             np.array([len(rows)], "<i8"),
             np.array([d for d, _, _ in rows], "<u8"),
@@ -110,9 +115,19 @@ def probes(name: str, where: str, lengths: Sequence[int]) -> list[str]:
     return [f"{d}{where[:n]}" for d in domains for n in lengths if n <= len(where) and d]
 
 
+def _order(rule: str) -> tuple[int, int]:
+    """Which of the rules that fit wins: the greatest."""
+    return len(rule), len(rule.partition("/")[0])
+
+
 def judge(df: DataFrame, rules=RULES, blocked=BLOCKED_DOMAINS, url: str = "url") -> DataFrame:
     """``df`` with ``host, path, rule, verdict``."""
     spark = df.sparkSession
+    if isinstance(rules, DataFrame):
+        size = rules.agg(F.sum(F.length("host") + F.length("path") + 32)).first()[0] or 0
+        if size > MAX_BYTES:
+            return judge_by_join(df, rules, blocked, url)
+        rules = [tuple(r) for r in rules.select("host", "path", "action").collect()]
     rules = list(rules)
     lengths = sorted({len(p) for _, p, _ in rules}, reverse=True)
     # Two lists in one array: a rule's value is its action, a blocked domain's is told by its prefix.
@@ -150,7 +165,7 @@ def judge(df: DataFrame, rules=RULES, blocked=BLOCKED_DOMAINS, url: str = "url")
                 row, said = owner[k], "block" if index.values[at[k]] == BLOCK else "allow"
                 text = keys[k][2:].decode()
                 if kind[k] == 0:
-                    if rule[row] is None or len(text) > len(rule[row]):
+                    if rule[row] is None or _order(text) > _order(rule[row]):
                         rule[row], verdict[row] = text, said
                 elif rule[row] is None:
                     verdict[row] = said
@@ -165,14 +180,18 @@ def judge(df: DataFrame, rules=RULES, blocked=BLOCKED_DOMAINS, url: str = "url")
 def judge_by_join(df: DataFrame, rules, blocked=BLOCKED_DOMAINS, url: str = "url") -> DataFrame:
     """The same verdicts by a join on probe keys, for rule tables beyond ``MAX_BYTES``."""
     spark = df.sparkSession
-    lengths = sorted({len(p) for _, p, _ in rules}, reverse=True)
-    entries = [(0, f"{h}{p}", a) for h, p, a in rules] + [(1, d, "block") for d in blocked]
-    known = spark.createDataFrame(entries, "kind int, key string, said string").dropDuplicates(["kind", "key"])
+    if not isinstance(rules, DataFrame):
+        rules = spark.createDataFrame([tuple(r) for r in rules], "host string, path string, action string")
+    lengths = [r.n for r in rules.select(F.length("path").alias("n")).distinct().collect()]  # as many as paths have lengths
+    bad = spark.createDataFrame([(d,) for d in blocked], "key string").select(F.lit(1).alias("kind"), "key", F.lit("block").alias("said"))
+    # "block" is the greater word.
+    known = rules.select(F.lit(0).alias("kind"), F.concat("host", "path").alias("key"), F.col("action").alias("said")).unionByName(bad)
+    known = known.groupBy("kind", "key").agg(F.max("said").alias("said"))
     named = df.withColumn("host", host(F.col(url))).withColumn("path", path(F.col(url)))
     pairs = named.select("host", "path").distinct()
     labels = F.split("host", "\\.")
     domains = F.expr("filter(transform(sequence(1, size(_l)), i -> array_join(slice(_l, i, size(_l)), '.')), d -> d <> '')")
-    cut = ", ".join(f"if(length(path) >= {n}, concat(_d, substr(path, 1, {n})), null)" for n in lengths)
+    cut = ", ".join(f"if(length(path) >= {n}, concat(_d, substr(path, 1, {n})), null)" for n in lengths) or "cast(null as string)"
     asked = pairs.withColumn("_l", labels).withColumn("_d", F.explode(domains))
     asked = asked.withColumn("_k", F.explode(F.expr(f"array_compact(array({', '.join(['struct(1 as kind, _d as key)'])}))")))
     asked = asked.select("host", "path", "_k.kind", "_k.key").unionByName(
@@ -183,7 +202,7 @@ def judge_by_join(df: DataFrame, rules, blocked=BLOCKED_DOMAINS, url: str = "url
     )
     hits = asked.join(known, ["kind", "key"])
     best = hits.groupBy("host", "path").agg(
-        F.max(F.when(F.col("kind") == 0, F.struct(F.length("key").alias("n"), "key", "said"))).alias("r"),
+        F.max(F.when(F.col("kind") == 0, F.struct(F.length("key").alias("n"), F.length(F.substring_index("key", "/", 1)).alias("h"), "key", "said"))).alias("r"),
         F.max(F.when(F.col("kind") == 1, F.col("said"))).alias("b"),
     )
     verdict = F.coalesce("r.said", "b", F.lit("allow"))
