@@ -56,8 +56,10 @@ def measure(docs: DataFrame) -> DataFrame:
     lines = F.expr(f"filter(split(_text, '\\n', -1), l -> length(translate(l, {_sql(SPACE)}, '')) > 0)")
     words = F.split(F.btrim(F.col("_text"), F.lit(SPACE)), "[ \\t\\n\\x0B\\f\\r]+")
     dense = F.translate(F.col("_text"), SPACE, "")
+    # What is not used here stays in a struct, so that no name of it can clash.
+    rest = [c for c in docs.columns if c != "m"]
     step = (
-        docs.withColumn("_text", text)
+        docs.select(F.struct(*[F.col(f"`{c}`") for c in rest]).alias("_rest"), text.alias("_text"))
         .withColumn("_words", F.when(F.length(dense) == 0, F.array().cast("array<string>")).otherwise(words))
         .withColumn("_lines", lines)
     )
@@ -95,8 +97,7 @@ def measure(docs: DataFrame) -> DataFrame:
         covered.alias("n_repeat_words"),
         F.expr("size(filter(_words, (w, i) -> coalesce(w = get(_words, i + 1), false)))").cast("long").alias("n_stutters"),
     )
-    helpers = ["_text", "_words", "_lines", "_windows", "_repeats", "_sorted", "_starts"]
-    return step.withColumn("m", settled(found)).drop(*helpers)
+    return step.select("_rest", settled(found).alias("m")).select(*[F.col("_rest").getField(c).alias(c) for c in rest], "m")
 
 
 def _sql(text: str) -> str:
