@@ -25,7 +25,7 @@ cannot link or are connected already.
 
 Null, empty and white-space texts have empty sets and stay alone, as do rows with
 a null id (their component is null). Where rows repeat an
-id, each row is judged by its own set and named by that id. Fewer than five words make one shingle of the whole sequence.
+id, each row is judged by its own set and named by that id; what one of them links with, the id links with. Fewer than five words make one shingle of the whole sequence.
 """
 
 from __future__ import annotations
@@ -36,7 +36,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import block_counts
@@ -167,7 +167,7 @@ def _pods(sets: DataFrame, percent: int) -> DataFrame:
     """A forest of links ``(a, b)`` among sets that agree in a min-hash."""
 
     def forest(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.drop_duplicates("rep")
+        group = group.drop_duplicates(["rep", "fp"])  # an id may stand for several sets
         hashes = [np.frombuffer(x, "<u8") for x in group["hashes"]]
         n = np.array([len(x) for x in hashes])
         top = size_band(int(n.max()), percent)
@@ -187,7 +187,7 @@ def _pods(sets: DataFrame, percent: int) -> DataFrame:
     crowded = checkpointed(crowded.select("key", F.ceil(F.col("count") / F.lit(POD)).cast("long").alias("pods")))
     if crowded.count() <= BROADCAST_ROWS:
         crowded = F.broadcast(crowded)
-    keyed = sets.select("rep", "hashes", F.explode("leaders").alias("key")).join(crowded, "key", "left")
+    keyed = sets.select("rep", "fp", "hashes", F.explode("leaders").alias("key")).join(crowded, "key", "left")
     salt = F.pmod(F.xxhash64("rep", "key"), F.coalesce("pods", F.lit(1).cast("long")))
     return keyed.withColumn("salt", salt).drop("pods").groupBy("key", "salt").applyInPandas(forest, "a long, b long")
 
@@ -195,20 +195,22 @@ def _pods(sets: DataFrame, percent: int) -> DataFrame:
 def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``docs``."""
     rows = checkpointed(document_sets(docs, words, percent))
-    reps = checkpointed(rows.filter("fp is not null").groupBy("fp").agg(F.min("doc_id").alias("rep")))
+    reps = rows.filter("fp is not null").groupBy("fp").agg(F.min("doc_id").alias("rep"))
     # The arrays stay where they are; only what a step needs is moved.
     sets = rows.filter("hashes is not null").select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "*")
     mine = ["fp", "rep"]
+    # Where an id stands for several sets, as its rows have different texts, they are told apart by a number, which is 0 for nearly all.
+    reps = checkpointed(reps.withColumn("twin", F.row_number().over(Window.partitionBy("rep").orderBy("fp")) - 1))
 
     # Equal sets of several blocks hang on their representative.
-    same = sets.select(F.col("rep").alias("b"), "fp").join(reps.withColumnRenamed("rep", "a"), "fp").select("a", "b")
+    same = sets.select(F.col("rep").alias("b"), "fp").join(reps.select("fp", F.col("rep").alias("a")), "fp").select("a", "b")
     found = checkpointed(_pods(sets, percent).unionByName(same.filter("a <> b")).distinct())
     first = components(found).select(F.col("node").alias("rep"), "component")
 
     thin = sets.select("rep", "fp", "n", "prefix", "band").join(reps, mine).join(first, "rep", "left")
     thin = thin.withColumn("component", F.coalesce("component", "rep"))
     posted = (
-        thin.select("rep", "n", "component", "band", F.explode("prefix").alias("shingle"))
+        thin.select("rep", "twin", "n", "component", "band", F.explode("prefix").alias("shingle"))
         .withColumn("guest", F.explode(F.array(F.lit(False), F.lit(True))))
         .withColumn("tile", F.col("band") + F.col("guest").cast("int"))
         .drop("band")
@@ -216,8 +218,9 @@ def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFra
     mixed = posted.groupBy("shingle", "tile").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
     mixed = mixed.filter("lo <> hi").select("shingle", "tile")
     posted = checkpointed(posted.join(mixed, ["shingle", "tile"], "left_semi"))
-    bits = sets.select("rep", "bits", "bits_up").join(posted.select("rep").distinct(), "rep", "left_semi")
-    tiles = posted.join(bits.dropDuplicates(["rep"]), "rep").withColumn("bits", F.expr("if(guest, bits_up, bits)")).drop("bits_up")
+    bits = sets.select("rep", "fp", "bits", "bits_up").join(reps, mine).drop("fp")
+    bits = bits.join(posted.select("rep", "twin").distinct(), ["rep", "twin"], "left_semi")
+    tiles = posted.join(bits.dropDuplicates(["rep", "twin"]), ["rep", "twin"]).withColumn("bits", F.expr("if(guest, bits_up, bits)")).drop("bits_up")
     differ = "aggregate(zip_with(p.bits, q.bits, (x, y) -> bit_count(x ^ y)), 0, (total, x) -> total + x)"
     pairs = (
         tiles.alias("p")
@@ -235,7 +238,7 @@ def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFra
     linked = components(found).select(F.col("node").alias("rep"), "component")
     return (
         rows.select("doc_id", "n_shingles", "fp")
-        .join(reps, "fp", "left")
+        .join(reps.drop("twin"), "fp", "left")
         .join(linked, "rep", "left")
         .select("doc_id", "n_shingles", F.coalesce("component", "rep", "doc_id").alias("component_id"))
     )
