@@ -15,14 +15,15 @@ block of documents; a block then builds the part of the automaton that its own
 texts can reach, which scores them exactly as the whole automaton would. No
 model is broadcast, pruned or capped.
 
-One left-to-right traversal scores a document. The state after a word depends
-only on the last ``order - 1`` words, so the traversal of all documents of a
-block is done position-parallel: the state carried into every position is
-gathered, then arcs and failure arcs are followed down the orders.
+One left-to-right traversal scores a document: the state it carries is the longest suffix of the words so far that the
+automaton knows; a word follows the state's arc, or fails over until a state has one. Numpy takes many
+stretches of text at a time, one word of each a step. A long document has several stretches; a state holds ``order - 1`` words at most,
+so a stretch that begins that many words earlier has the state of the whole traversal where it starts to count.
 
 Words are ASCII-lower-cased ``[^\\x20\\x09-\\x0D]+``; every document ends in an
 end token, which also is the state before its first word. Null or empty texts
-hold the end token alone. A null id counts as training and stays null.
+hold the end token alone. A null id counts as training and stays null. Rows that repeat an id are texts of their own,
+all of which are scored and counted.
 """
 
 from __future__ import annotations
@@ -40,6 +41,8 @@ END = b"\n"  # holds white space, so no word equals it
 
 #: Smoothing strength of orders 2, 3, ...
 STRENGTH = (4000.0, 100.0)
+#: Words of a stretch of text.
+STRETCH = 64
 
 SCHEMA = (
     "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
@@ -70,51 +73,88 @@ def _grams(block: Block, order: int) -> list[tuple[np.ndarray, np.ndarray]]:
 class Automaton:
     """The states and arcs that a block's texts can reach.
 
-    ``arc[k][i]``: count of the n-gram of order k+1 that ends at position i, 0
-    if the automaton has no such arc. ``state[k][i]``: count of the context of
-    order k+1 before position i, 0 if there is no such state.
+    Gram g (a number among the block's distinct grams) with a positive total is state ``1 + g`` if it is shorter than ``order``; state 0 is
+    the root. ``fail[s]``: the state of the longest proper suffix, at the weight ``backoff[s]``. Arcs are sorted by (state, word): ``keys``, with
+    ``weight`` and ``target``. The root has an arc for each word, known or not: ``root_weight`` and ``root_target`` by word.
     """
 
-    def __init__(self, block: Block, order: int, keys, totals, tokens: int, distinct: int, strength):
-        self.order, self.strength = order, strength
-        self.root = tokens + 0.1 * (distinct + 1)
-        self.arc = []
-        for key, there in _grams(block, order):
-            arc = np.zeros(len(key), np.int64)
-            arc[there] = totals[np.searchsorted(keys, key[there])]
-            self.arc.append(arc)
-        starts = block.starts
-        ends_seen = self.arc[0][block.ends[0] - 1]
-        self.state = []
-        for k in range(order - 1):
-            seen = np.empty_like(self.arc[k])
-            seen[1:] = self.arc[k][:-1]
-            seen[starts] = ends_seen if k == 0 else 0
-            self.state.append(seen)
-
-    def root_weights(self) -> np.ndarray:
-        return np.log10((self.arc[0] + 0.1) / self.root)
+    def __init__(self, block: Block, places: list[np.ndarray], totals, tokens: int, distinct: int, strength):
+        order, n = len(places), len(totals)
+        self.block, self.order, self.words = block, order, max(1, len(block.hashes))
+        token = block.tokens.astype(np.int64)
+        end = int(block.ends[0]) - 1  # where an end token stands
+        root = tokens + 0.1 * (distinct + 1)
+        count = totals[places[0]]
+        self.root_weights = np.log10((count + 0.1) / root)  # by position
+        self.root_weight, self.root_target = np.empty(self.words), np.zeros(self.words, np.int64)
+        self.root_weight[token] = self.root_weights
+        self.root_target[token] = np.where((count > 0) & (order > 1), 1 + places[0], 0)
+        self.known = count > 0
+        self.start = int(self.root_target[token[end]])
+        self.fail, self.backoff = np.zeros(n + 1, np.int64), np.zeros(n + 1)
+        p = np.zeros(n)
+        p[places[0]] = (count + 0.1) / root
+        starts, keys, weights, targets = block.starts, [], [], []
+        for k in range(1, order):
+            # A position of each gram of k + 1 words.
+            at = np.full(n, -1, np.int64)
+            there = np.flatnonzero(places[k] >= 0)
+            at[places[k][there]] = there
+            gram = np.flatnonzero(at >= 0)
+            at = at[gram]
+            first = np.zeros(len(token), bool)
+            first[starts] = True
+            # The context ends one word earlier; ahead of a text stands an end token.
+            context = places[k - 1][np.where(first[at], end if k == 1 else at, at - 1)]
+            suffix = places[k - 1][at]
+            m = strength[k - 1]
+            p[gram] = (totals[gram] + m * p[suffix]) / (totals[context] + m)
+            seen = totals[context] > 0
+            self.backoff[1 + context[seen]] = np.log10(m / (totals[context[seen]] + m))
+            real = totals[gram] > 0
+            keys.append((1 + context[real]) * self.words + token[at[real]])
+            weights.append(np.log10(p[gram[real]]))
+            targets.append(1 + (gram if k + 1 < order else suffix)[real])
+            if k + 1 < order:
+                self.fail[1 + gram] = 1 + suffix
+        if keys:
+            self.keys, self.weight, self.target = (np.concatenate(x) for x in (keys, weights, targets))
+            by = np.argsort(self.keys)
+            self.keys, self.weight, self.target = self.keys[by], self.weight[by], self.target[by]
 
     def traverse(self) -> tuple[np.ndarray, np.ndarray]:
         """log10 probability of every position's word, and the failure arcs taken there."""
-        p = (self.arc[0] + 0.1) / self.root
-        weight = [np.log10(p)]
-        for k in range(1, self.order):
-            m = self.strength[k - 1]
-            p = (self.arc[k] + m * p) / (self.state[k - 1] + m)
-            weight.append(np.log10(p))
-        score, failed = np.zeros(len(p)), np.zeros(len(p), np.int64)
-        open_ = np.ones(len(p), bool)
-        for k in range(self.order - 1, 0, -1):
-            state = self.state[k - 1]
-            match = open_ & (self.arc[k] > 0)
-            score[match] += weight[k][match]
-            open_ &= ~match
-            fail = open_ & (state > 0)
-            m = self.strength[k - 1]
-            score[fail] += np.log10(m / (state[fail] + m))
-            failed += fail
-        score[open_] += weight[0][open_]
+        token, n = self.block.tokens.astype(np.int64), len(self.block.tokens)
+        score, failed = np.zeros(n), np.zeros(n, np.int64)
+        if self.order == 1:
+            return self.root_weights, failed
+        # Stretches: where one counts from and to, and where it starts to walk.
+        sizes = np.diff(self.block.ends, prepend=0)
+        pieces = -(-sizes // STRETCH)
+        number = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        begin = np.repeat(self.block.starts, pieces)
+        counts = begin + number * STRETCH
+        stop = np.minimum(counts + STRETCH, np.repeat(self.block.ends, pieces))
+        walk = np.maximum(counts - (self.order - 1), begin)
+        state = np.where(walk == begin, self.start, 0)
+        for step in range(STRETCH + self.order - 1):
+            live = np.flatnonzero(walk + step < stop)
+            at = walk[live] + step
+            word, now, paid, arcs = token[at], state[live], np.zeros(len(live)), np.zeros(len(live), np.int64)
+            open_ = np.arange(len(live))
+            while len(open_):
+                s, w = now[open_], word[open_]
+                key = s * self.words + w
+                place = np.minimum(np.searchsorted(self.keys, key), max(0, len(self.keys) - 1))
+                hit = (s > 0) & (self.keys[place] == key) if len(self.keys) else np.zeros(len(s), bool)
+                rooted = s == 0
+                paid[open_] += np.where(hit, self.weight[place] if len(self.keys) else 0, np.where(rooted, self.root_weight[w], self.backoff[s]))
+                now[open_] = np.where(hit, self.target[place] if len(self.keys) else 0, np.where(rooted, self.root_target[w], self.fail[s]))
+                open_ = open_[~hit & ~rooted]
+                arcs[open_] += 1
+            state[live] = now
+            counted = at >= counts[live]
+            score[at[counted]], failed[at[counted]] = paid[counted], arcs[counted]
         return score, failed
 
 
@@ -129,11 +169,18 @@ def score(docs: DataFrame, order: int = 3, strength: tuple[float, ...] = STRENGT
         all_keys = np.concatenate([k[there] for k, there in grams])
         weight = np.concatenate([train[there] for _, there in grams])
         distinct, place = np.unique(all_keys, return_inverse=True)
-        return distinct, np.bincount(place, weight, len(distinct)).astype(np.int64)
-
-    def finish(block: Block, k, totals, stats):
+        places, at = [], 0
+        for _, there in grams:
+            mine = np.full(len(there), -1, np.int64)
+            size = int(there.sum())
+            mine[there] = place[at : at + size]
+            places.append(mine)
+            at += size
+        return distinct, np.bincount(place, weight, len(distinct)).astype(np.int64), places
+
+    def finish(block: Block, _k, totals, stats, places):
         tokens, distinct = stats
-        model = Automaton(block, order, k, totals, tokens, distinct, strength)
+        model = Automaton(block, places, totals, tokens, distinct, strength)
         got, failed = model.traverse()
         at = block.starts
         return pd.DataFrame(
@@ -141,9 +188,9 @@ def score(docs: DataFrame, order: int = 3, strength: tuple[float, ...] = STRENGT
                 "doc_id": nullable(block.ids, block.known == 0),
                 "held_out": block.flags == 1,
                 "n_tokens": np.diff(block.ends, prepend=0),
-                "n_known": np.add.reduceat((model.arc[0] > 0).astype(np.int64), at),
+                "n_known": np.add.reduceat(model.known.astype(np.int64), at),
                 "train_tokens": tokens,
-                "base_score": np.add.reduceat(model.root_weights(), at),
+                "base_score": np.add.reduceat(model.root_weights, at),
                 "score": np.add.reduceat(got, at),
                 "n_backoffs": np.add.reduceat(failed, at),
             }

@@ -115,13 +115,21 @@ def _unplanes(data: bytes, kind: str) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, "u1").reshape(width, -1).T).view(kind).ravel()
 
 
+#: Low bytes of a difference that are as good as random and stay as they are; those above are small numbers.
+_RANDOM_BYTES = 5
+
+
 def _pack_sorted(keys: np.ndarray) -> bytes:
-    """Sorted distinct keys as differences, of which the shuffle's codec drops the zero bytes."""
-    return _planes(np.diff(keys, prepend=np.uint64(0)).astype("<u8"))
+    """Sorted distinct keys as differences; their high bytes, whose values are uneven, go through an entropy coder."""
+    planes = _planes(np.diff(keys, prepend=np.uint64(0)).astype("<u8"))
+    low = _RANDOM_BYTES * len(keys)
+    return np.array([len(keys)], "<i8").tobytes() + planes[:low] + zstandard.ZstdCompressor(level=1).compress(planes[low:])
 
 
 def _unpack_sorted(data: bytes) -> np.ndarray:
-    return np.cumsum(_unplanes(data, "<u8"), dtype=np.uint64)
+    low = 8 + _RANDOM_BYTES * int(np.frombuffer(data, "<i8", 1)[0])
+    planes = data[8:low] + zstandard.ZstdDecompressor().decompress(data[low:])
+    return np.cumsum(_unplanes(planes, "<u8"), dtype=np.uint64)
 
 
 def _pack_counts(counts: np.ndarray) -> bytes:
@@ -175,16 +183,16 @@ def _ranges(docs: DataFrame) -> int:
 
 def exchange(
     docs: DataFrame,
-    keys: Callable[[Block], tuple[np.ndarray, np.ndarray]],
-    finish: Callable[[Block, np.ndarray, np.ndarray, tuple[int, int]], pd.DataFrame],
+    keys: Callable[[Block], tuple[np.ndarray, ...]],
+    finish: Callable[..., pd.DataFrame],
     schema: str,
     end: bytes | None = None,
 ) -> DataFrame:
     """``finish`` of every block, with corpus-wide totals of the block's keys.
 
     ``docs``: columns ``id`` long, ``no_id`` boolean, ``flag`` int, ``text``.
-    ``keys(block)``: sorted distinct uint64 keys and their counts in the block.
-    ``finish(block, keys, totals, (sum, distinct))``: the last pair holds the
+    ``keys(block)``: sorted distinct uint64 keys, their counts in the block, and whatever ``finish`` is to be given.
+    ``finish(block, keys, totals, (sum, distinct), ...)``: the pair holds the
     total and the number of odd keys whose total is positive, corpus-wide.
     ``end``: a token added to every document.
     """
@@ -202,7 +210,7 @@ def exchange(
 
     def send(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for number, block in numbered(frames):
-            k, c = keys(block)
+            k, c, *_ = keys(block)
             cuts = [0, *np.searchsorted(k, _edges(shards)).tolist(), len(k)]
             rows = [
                 (number, s, KEYS, 0, _pack_sorted(k[i:j]), _pack_counts(c[i:j]))
@@ -233,9 +241,9 @@ def exchange(
             raise RuntimeError("the input's partitions changed between two readings; checkpoint it first")
         block = Block.unpack(text["a"].iloc[0])
         stats = np.array([np.frombuffer(x, "<i8") for x in reply["b"]]).sum(axis=0)
-        k, _ = keys(block)
+        k, _, *more = keys(block)
         totals = np.concatenate([_unpack_counts(x) for x in reply["a"]])
-        return finish(block, k, totals, (int(stats[0]), int(stats[1])))
+        return finish(block, k, totals, (int(stats[0]), int(stats[1])), *more)
 
     docs = docs.select("id", "no_id", "flag", "text", F.spark_partition_id().alias("partition"))
     replied = docs.mapInPandas(send, ROWS).groupBy("shard").applyInPandas(total, ROWS)
