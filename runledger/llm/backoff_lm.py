@@ -73,64 +73,57 @@ def _grams(block: Block, order: int) -> list[tuple[np.ndarray, np.ndarray]]:
 class Automaton:
     """The states and arcs that a block's texts can reach.
 
-    Gram g (a number among the block's distinct grams) with a positive total is state ``1 + g`` if it is shorter than ``order``; state 0 is
-    the root. ``fail[s]``: the state of the longest proper suffix, at the weight ``backoff[s]``. Arcs are sorted by (state, word): ``keys``, with
-    ``weight`` and ``target``. The root has an arc for each word, known or not: ``root_weight`` and ``root_target`` by word.
+    Gram g (a number among the block's distinct grams) with a positive total is an arc, from the state of its words but the last, by its last
+    word, of weight ``weight[g]``, to state ``target[g]``. One shorter than ``order`` is state ``1 + g`` as well, of ``size`` words; state 0 is
+    the root, which has an arc for each word, known or not. ``fail[s]`` is the state of the longest proper suffix, at the weight ``backoff[s]``.
+    Which gram a state of k words and the word at a position make is known by position: ``grams[k]``.
     """
 
-    def __init__(self, block: Block, places: list[np.ndarray], totals, tokens: int, distinct: int, strength):
-        order, n = len(places), len(totals)
-        self.block, self.order, self.words = block, order, max(1, len(block.hashes))
-        token = block.tokens.astype(np.int64)
+    def __init__(self, block: Block, grams: list[np.ndarray], totals, tokens: int, distinct: int, strength):
+        order, n = len(grams), len(totals)
+        self.block, self.order, self.grams = block, order, np.stack(grams)
         end = int(block.ends[0]) - 1  # where an end token stands
         root = tokens + 0.1 * (distinct + 1)
-        count = totals[places[0]]
-        self.root_weights = np.log10((count + 0.1) / root)  # by position
-        self.root_weight, self.root_target = np.empty(self.words), np.zeros(self.words, np.int64)
-        self.root_weight[token] = self.root_weights
-        self.root_target[token] = np.where((count > 0) & (order > 1), 1 + places[0], 0)
-        self.known = count > 0
-        self.start = int(self.root_target[token[end]])
+        self.real = totals > 0
+        self.known = self.real[grams[0]]
+        p = np.empty(n)
+        p[grams[0]] = (totals[grams[0]] + 0.1) / root
+        self.target, self.size = np.zeros(n, np.int64), np.zeros(n + 1, np.int8)
         self.fail, self.backoff = np.zeros(n + 1, np.int64), np.zeros(n + 1)
-        p = np.zeros(n)
-        p[places[0]] = (count + 0.1) / root
-        starts, keys, weights, targets = block.starts, [], [], []
+        if order > 1:
+            self.target[grams[0]] = np.where(self.known, 1 + grams[0], 0)
+            self.size[1 + grams[0]] = 1
+        first = np.zeros(len(block.tokens), bool)
+        first[block.starts] = True
         for k in range(1, order):
             # A position of each gram of k + 1 words.
             at = np.full(n, -1, np.int64)
-            there = np.flatnonzero(places[k] >= 0)
-            at[places[k][there]] = there
+            there = np.flatnonzero(grams[k] >= 0)
+            at[grams[k][there]] = there
             gram = np.flatnonzero(at >= 0)
             at = at[gram]
-            first = np.zeros(len(token), bool)
-            first[starts] = True
             # The context ends one word earlier; ahead of a text stands an end token.
-            context = places[k - 1][np.where(first[at], end if k == 1 else at, at - 1)]
-            suffix = places[k - 1][at]
+            context = grams[k - 1][np.where(first[at], end if k == 1 else at, at - 1)]
+            suffix = grams[k - 1][at]
             m = strength[k - 1]
             p[gram] = (totals[gram] + m * p[suffix]) / (totals[context] + m)
-            seen = totals[context] > 0
-            self.backoff[1 + context[seen]] = np.log10(m / (totals[context[seen]] + m))
-            real = totals[gram] > 0
-            keys.append((1 + context[real]) * self.words + token[at[real]])
-            weights.append(np.log10(p[gram[real]]))
-            targets.append(1 + (gram if k + 1 < order else suffix)[real])
+            self.backoff[1 + context] = np.log10(m / (totals[context] + m))
+            self.target[gram] = 1 + (gram if k + 1 < order else suffix)
             if k + 1 < order:
                 self.fail[1 + gram] = 1 + suffix
-        if keys:
-            self.keys, self.weight, self.target = (np.concatenate(x) for x in (keys, weights, targets))
-            by = np.argsort(self.keys)
-            self.keys, self.weight, self.target = self.keys[by], self.weight[by], self.target[by]
+                self.size[1 + gram] = k + 1
+        self.weight = np.log10(p)
+        self.start = int(self.target[grams[0][end]])
+
+    def root_weights(self) -> np.ndarray:
+        return self.weight[self.grams[0]]
 
     def traverse(self) -> tuple[np.ndarray, np.ndarray]:
         """log10 probability of every position's word, and the failure arcs taken there."""
-        token, n = self.block.tokens.astype(np.int64), len(self.block.tokens)
+        n = len(self.block.tokens)
         score, failed = np.zeros(n), np.zeros(n, np.int64)
-        if self.order == 1:
-            return self.root_weights, failed
         # Stretches: where one counts from and to, and where it starts to walk.
-        sizes = np.diff(self.block.ends, prepend=0)
-        pieces = -(-sizes // STRETCH)
+        pieces = -(-np.diff(self.block.ends, prepend=0) // STRETCH)
         number = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
         begin = np.repeat(self.block.starts, pieces)
         counts = begin + number * STRETCH
@@ -139,18 +132,16 @@ class Automaton:
         state = np.where(walk == begin, self.start, 0)
         for step in range(STRETCH + self.order - 1):
             live = np.flatnonzero(walk + step < stop)
-            at = walk[live] + step
-            word, now, paid, arcs = token[at], state[live], np.zeros(len(live)), np.zeros(len(live), np.int64)
+            at, now = walk[live] + step, state[live]
+            paid, arcs = np.zeros(len(live)), np.zeros(len(live), np.int64)
             open_ = np.arange(len(live))
             while len(open_):
-                s, w = now[open_], word[open_]
-                key = s * self.words + w
-                place = np.minimum(np.searchsorted(self.keys, key), max(0, len(self.keys) - 1))
-                hit = (s > 0) & (self.keys[place] == key) if len(self.keys) else np.zeros(len(s), bool)
-                rooted = s == 0
-                paid[open_] += np.where(hit, self.weight[place] if len(self.keys) else 0, np.where(rooted, self.root_weight[w], self.backoff[s]))
-                now[open_] = np.where(hit, self.target[place] if len(self.keys) else 0, np.where(rooted, self.root_target[w], self.fail[s]))
-                open_ = open_[~hit & ~rooted]
+                s = now[open_]
+                gram = self.grams[self.size[s], at[open_]]
+                hit = (s == 0) | self.real[gram]
+                paid[open_] += np.where(hit, self.weight[gram], self.backoff[s])
+                now[open_] = np.where(hit, self.target[gram], self.fail[s])
+                open_ = open_[~hit]
                 arcs[open_] += 1
             state[live] = now
             counted = at >= counts[live]
@@ -190,7 +181,7 @@ def score(docs: DataFrame, order: int = 3, strength: tuple[float, ...] = STRENGT
                 "n_tokens": np.diff(block.ends, prepend=0),
                 "n_known": np.add.reduceat(model.known.astype(np.int64), at),
                 "train_tokens": tokens,
-                "base_score": np.add.reduceat(model.root_weights, at),
+                "base_score": np.add.reduceat(model.root_weights(), at),
                 "score": np.add.reduceat(got, at),
                 "n_backoffs": np.add.reduceat(failed, at),
             }

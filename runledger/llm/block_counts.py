@@ -151,9 +151,14 @@ def _blocks(frames: Iterator[pd.DataFrame], end: bytes | None) -> Iterator[Block
 
     def made() -> Block:
         hashes = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in vocabulary), np.uint64, len(vocabulary))
+        text = np.concatenate(tokens) if tokens else np.empty(0, np.uint32)
+        # Numbers by frequency: small ones are frequent, so that the text packs well.
+        by = np.argsort(-np.bincount(text, minlength=len(hashes)), kind="stable")
+        rank = np.empty(len(by), np.uint32)
+        rank[by] = np.arange(len(by), dtype=np.uint32)
         return Block(
             np.array(ids, np.int64), np.array(known, np.uint8), np.array(flags, np.uint8), np.array(ends, np.int64),
-            np.concatenate(tokens) if tokens else np.empty(0, np.uint32), hashes,
+            rank[text], hashes[by],
         )
 
     for frame in frames:
