@@ -28,6 +28,36 @@ def node_tree(log: DataFrame, query_date=None) -> DataFrame:
     )
 
 
+def nested_trees(edges: DataFrame) -> DataFrame:
+    """``suite, n_nodes, n_leaves, document`` of a tree of edges (:func:`node_tree`): one nested JSON document a suite.
+
+    A node is ``{"name", "nodes", "leaves", "children"}``: how many nodes and leaves it has with itself, and its children by name. The
+    deepest level is made first, then each level takes up the one below it: a round a level, whose rows are
+    grouped by parent, so a task holds one node's children.
+    """
+    deepest = edges.agg(F.max("depth")).first()[0] or 0
+    quoted = F.to_json(F.struct(F.col("name").alias("name")))
+    head = F.concat(F.substr(quoted, F.lit(1), F.length(quoted) - 1), F.lit(',"nodes":'))
+    rows = edges.select("path", "parent", "name", "depth", head.alias("head"))
+    below = None
+    for level in range(deepest, 0, -1):
+        mine = rows.filter(F.col("depth") == level)
+        if below is None:
+            taken = mine.select("*", F.lit(None).cast("string").alias("inside"), F.lit(0).cast("bigint").alias("nodes"), F.lit(0).cast("bigint").alias("leaves"))
+        else:
+            children = F.transform(F.array_sort(F.collect_list(F.struct("name", "document"))), lambda c: c["document"])
+            sums = below.groupBy(F.col("parent").alias("path")).agg(
+                F.array_join(children, ",").alias("inside"), F.sum("n_nodes").alias("nodes"), F.sum("n_leaves").alias("leaves")
+            )
+            taken = mine.join(sums, "path", "left").fillna(0, ["nodes", "leaves"])
+        n_nodes, n_leaves = F.col("nodes") + 1, F.when(F.col("inside").isNull(), F.lit(1)).otherwise(F.col("leaves")).cast("bigint")
+        document = F.concat("head", n_nodes.cast("string"), F.lit(',"leaves":'), n_leaves.cast("string"), F.lit(',"children":['), F.coalesce("inside", F.lit("")), F.lit("]}"))
+        below = taken.select("path", "parent", "name", n_nodes.alias("n_nodes"), n_leaves.alias("n_leaves"), document.alias("document"))
+    if below is None:
+        below = rows.select("path", "parent", "name", F.lit(0).cast("bigint").alias("n_nodes"), F.lit(0).cast("bigint").alias("n_leaves"), "head").withColumnRenamed("head", "document")
+    return below.select(F.col("path").alias("suite"), "n_nodes", "n_leaves", "document")
+
+
 def node_exists(log: DataFrame, asked: DataFrame) -> DataFrame:
     """``node_path, present`` for each asked path; present means named in the log itself."""
     there = paths(log).withColumn("there", F.lit(True))

@@ -27,6 +27,12 @@ def clock_means(df: DataFrame, by: list[str], columns: list[str], ratio: float =
     stacked = F.explode(F.array(*[F.struct(F.lit(c).alias("which"), F.col(c).cast("bigint").alias("v")) for c in columns]))
     keys = [*by, "which"]
     values = df.select(*by, stacked.alias("x")).select(*by, "x.which", "x.v").groupBy(*keys, "v").agg(F.count("*").alias("c"))
+    return means_of_counts(values, by, columns, ratio)
+
+
+def means_of_counts(values: DataFrame, by: list[str], columns: list[str], ratio: float = 0.25) -> DataFrame:
+    """The means of :func:`clock_means` from how often each value occurs: ``which`` (the column), ``v``, ``c``, one row a value."""
+    keys = [*by, "which"]
     values = values.withColumn("b", F.floor(F.col("v") / F.lit(BUCKET_US)))
     buckets = values.filter("v is not null").groupBy(*keys, "b").agg(F.sum("c").alias("bc"))
     whole = Window.partitionBy(*keys)
@@ -84,6 +90,12 @@ def time_period(log: DataFrame, start, stop, machine: Machine = TASK, earliest_t
     )
 
 
+def summary_of_counts(values: DataFrame, ratio: float = 0.25) -> DataFrame:
+    """:func:`time_period_summary` from maintained counts of ``start_clock`` and ``end_clock`` (:mod:`runledger.sources.deltas`)."""
+    means = means_of_counts(values, ["node_path"], ["start_clock", "end_clock"], ratio)
+    return means.select("node_path", F.col("n_start_clock").alias("n"), F.col("trimmed_start_clock").alias("start_mean"), F.col("trimmed_end_clock").alias("end_mean"))
+
+
 def time_period_summary(periods: DataFrame, ratio: float = 0.25) -> DataFrame:
     """Trimmed means of the start and end clocks of each node."""
     for c in ("start_clock", "end_clock"):

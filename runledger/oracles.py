@@ -287,4 +287,16 @@ ORACLES = {
     "stream_tail": f"{_files()} SELECT * EXCLUDE (log_date) FROM kept",
     "stream_machine": f"{_situations(TASK, 'task')} {SIT}",
     "stream_fold": f"{_situations(TASK, 'task')} SELECT node_path, run_date, situation FROM sit",
+    # Nodes in the order of a walk; each opens its document, and closes those that end before the next node.
+    "node_tree_nested": f"""{_NODES},
+        p AS (SELECT DISTINCT string_split(node_path, '/') AS parts FROM nodes WHERE record_date = DATE '2024-01-10'),
+        e AS (SELECT DISTINCT parts[2:k] AS parts FROM p, range(2, 20) r(k) WHERE k <= len(parts)),
+        c AS (SELECT a.parts, count(*) AS n, count(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM e x WHERE len(x.parts) = len(b.parts) + 1 AND x.parts[1:len(b.parts)] = b.parts)) AS l
+              FROM e a JOIN e b ON b.parts[1:len(a.parts)] = a.parts GROUP BY a.parts),
+        w AS (SELECT *, lead(len(parts)) OVER (PARTITION BY parts[1] ORDER BY parts) AS next FROM c),
+        s AS (SELECT parts, n, l, '{{"name":' || to_json(parts[-1]) || ',"nodes":' || n || ',"leaves":' || l || ',"children":['
+                || CASE WHEN next > len(parts) THEN '' ELSE repeat(']}}', (len(parts) - coalesce(next, 1) + 1)::INT) || CASE WHEN next IS NULL THEN '' ELSE ',' END END AS text FROM w)
+        SELECT '/' || parts[1] AS suite, max(n) AS n_nodes, arg_max(l, n) AS n_leaves, string_agg(text, '' ORDER BY parts) AS document FROM s GROUP BY parts[1]""",
 }
+ORACLES["maintained_means"] = ORACLES["time_period_summary"]
+ORACLES["scan_sorted"] = ORACLES["scan_by_key"]

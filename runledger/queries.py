@@ -15,7 +15,7 @@ from . import streaming
 from .functions.clock import format_clock
 from .functions.predicate import in_date_range
 from .operators import daily, nodes, reports, runs, versions
-from .sources import grammar, ingest, lines, sinks, zones
+from .sources import deltas, grammar, ingest, lines, sinks, zones
 from .sources.loads import RecordStore
 from .sources.storage import shared_folder
 from .streaming import machine
@@ -423,6 +423,30 @@ def stream_fold(spark, sf_dir):
     return runs.situations_by_function(tasks(spark, sf_dir), START, STOP, lambda state, status: table.moves[state].get(status, state), stops=table.stops)
 
 
+def node_tree_nested(spark, sf_dir):
+    return nodes.nested_trees(nodes.node_tree(_nodes(spark, sf_dir), "2024-01-10"))
+
+
+def maintained_means(spark, sf_dir):
+    """Means of periods that were first computed from a part of the log and then corrected; the correction is sent twice."""
+    log = families(spark, sf_dir)
+    store = deltas.DeltaCounts(spark, f"{shared_folder(spark)}/means-{uuid.uuid4().hex}")
+    before = reports.time_period(log.filter("line_no % 10 < 7"), START, STOP, runs.FAMILY)
+    after = reports.time_period(log, START, STOP, runs.FAMILY)
+    clocks = ["start_clock", "end_clock"]
+    store.add("report", 1, deltas.value_changes(None, before, ["node_path"], clocks))
+    for _ in range(2):
+        store.add("report", 2, deltas.value_changes(before, after, ["node_path"], clocks))
+    return reports.summary_of_counts(store.read())
+
+
+def scan_sorted(spark, sf_dir):
+    log = tasks(spark, sf_dir).withColumn("version_id", F.date_format("record_date", "yyyyMMdd"))
+    path = f"{shared_folder(spark)}/keyed-{uuid.uuid4().hex}"
+    sinks.write_sorted_keys(sinks.export_keyed(log).select("row_key", "line_no"), path, file_rows=500)
+    return sinks.scan_sorted(spark, path, "^[0-7].*-659[0-9a-f]{5}$")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -432,5 +456,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         family_situation_daily, run_timeline, node_tree, node_types, node_exists, parse_sms, parse_ecflow, pre_filter, log_file_info,
         register_versions, incremental_rows, resolve_repo, upsert_dim, export_keyed, scan_by_key, records_as_json,
         stream_run_windows, stream_situations, load_resumes, load_days, stream_tail, stream_machine, stream_fold,
+        node_tree_nested, maintained_means, scan_sorted,
     )
 }
