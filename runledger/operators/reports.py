@@ -62,9 +62,9 @@ def trimmed_mean(df: DataFrame, by: list[str], col: str, ratio: float = 0.25, na
     return means.filter(F.col(f"n_{col}") > 0).select(*by, F.col(f"trimmed_{col}").alias(name))
 
 
-def time_point(log: DataFrame, status: str, start, stop, machine: Machine = TASK, earliest_time=None) -> DataFrame:
+def time_point(log: DataFrame, status: str, start, stop, machine: Machine = TASK, earliest_time=None, clip_to_stop: bool = False, node_paths=None) -> DataFrame:
     """Per node and day, the clock at which its completed run entered ``status`` (microseconds from the day's midnight)."""
-    table = node_table(situations(log, start, stop, machine, earliest_time))
+    table = node_table(situations(log, start, stop, machine, earliest_time, clip_to_stop, node_paths))
     column = f"time_point_{status}"
     if column not in table.columns:
         raise ValueError(f"no time point of status {status!r}")
@@ -79,9 +79,9 @@ def time_point_summary(points: DataFrame, ratio: float = 0.25) -> DataFrame:
     return means.select("node_path", F.col("n_clock").alias("n"), F.col("mean_clock").alias("mean"), F.col("trimmed_clock").alias("trimmed_mean"))
 
 
-def time_period(log: DataFrame, start, stop, machine: Machine = TASK, earliest_time=None) -> DataFrame:
+def time_period(log: DataFrame, start, stop, machine: Machine = TASK, earliest_time=None, clip_to_stop: bool = False, node_paths=None) -> DataFrame:
     """Per node and day: start clock, end clock and duration of its completed run, in microseconds."""
-    table = node_table(situations(log, start, stop, machine, earliest_time))
+    table = node_table(situations(log, start, stop, machine, earliest_time, clip_to_stop, node_paths))
     return table.select(
         "node_path", "run_date", "run_key",
         clock_us(F.col("run_date"), F.col("time_period_in_all_start")).alias("start_clock"),

@@ -32,11 +32,21 @@ def calendar(log: DataFrame, start, stop) -> DataFrame:
     return log.select("node_path").distinct().withColumn("run_date", F.explode(days))
 
 
-def assign_run_window(log: DataFrame, start, stop, earliest_time=None) -> DataFrame:
+def of_nodes(log: DataFrame, node_paths=None) -> DataFrame:
+    """The records of some nodes, or of all."""
+    if node_paths is None:
+        return log
+    return log.filter(F.col("node_path").isin(*([node_paths] if isinstance(node_paths, str) else node_paths)))
+
+
+def assign_run_window(log: DataFrame, start, stop, earliest_time=None, clip_to_stop: bool = False) -> DataFrame:
     """Each record on its own date and on the day before, within ``[start, stop)``.
 
-    ``earliest_time``: drop records before that time of the run's day, for nodes that run over midnight.
+    ``earliest_time``: drop records before that time of the run's day, for nodes that run over midnight. ``clip_to_stop``: drop
+    records from ``stop`` on, at which the last day's window looks otherwise.
     """
+    if clip_to_stop:
+        log = log.filter(F.col("record_date") < as_day(stop))
     lean = log.select("node_path", "ts", "line_no", "command", "record_date")
     days = F.array(F.col("record_date"), F.date_sub("record_date", 1))
     placed = lean.withColumn("run_date", F.explode(days)).filter((F.col("run_date") >= as_day(start)) & (F.col("run_date") < as_day(stop)))
@@ -71,13 +81,14 @@ FAMILY = Machine(("queued",), needs_active=False, ignore_aborted=True, stops_on_
 STRICT_FAMILY = Machine(("queued",), needs_active=False, ignore_aborted=False, stops_on_error=True)
 
 
-def situations(log: DataFrame, start, stop, machine: Machine = TASK, earliest_time=None) -> DataFrame:
-    """One row per node and day of ``[start, stop)``: how far its run came, and when.
+def situations(log: DataFrame, start, stop, machine: Machine = TASK, earliest_time=None, clip_to_stop: bool = False, node_paths=None) -> DataFrame:
+    """One row per node and day of ``[start, stop)``: how far its run came, and when. ``node_paths``: of these nodes alone.
 
     ``situation`` is Initial, Queued, Submitted, Active, Complete or Error; the ``tp_`` columns
     are those of the run that decided it, ``tp_aborted`` is the last abort before its completion.
     """
-    placed = assign_run_window(status_changes(log), start, stop, earliest_time)
+    log = of_nodes(log, node_paths)
+    placed = assign_run_window(status_changes(log), start, stop, earliest_time, clip_to_stop)
     run = Window.partitionBy(*RUN).orderBy("ts", "line_no")
     status = F.col("command")
     opened = placed.withColumn("rn", F.row_number().over(run)).withColumn(

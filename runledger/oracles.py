@@ -300,3 +300,22 @@ ORACLES = {
 }
 ORACLES["maintained_means"] = ORACLES["time_period_summary"]
 ORACLES["scan_sorted"] = ORACLES["scan_by_key"]
+_SOME = "node_path IN ('/suite0/fam0/t3', '/suite0/fam0/t7', '/suite1/fam1/t12', '/suite2/fam2/t21')"
+ORACLES["situations_clipped"] = (
+    _situations(f"{TASK} AND {_SOME}", "task", more="record_date < DATE '2024-01-15'").replace("2024-01-30", "2024-01-14") + " " + SIT
+)
+ORACLES["line_numbers"] = f"{_files()} SELECT file, no AS line_no, value FROM filed"
+ORACLES["read_ecflow"] = ORACLES["parse_ecflow"].replace("SELECT line_no, 'LOG'", "SELECT 'LOG'")
+ORACLES["report_csv"] = (
+    f"SELECT {', '.join(f'CAST({c} AS VARCHAR) AS {c}' for c in ('run_key', 'node_path', 'run_date', 'start_clock', 'end_clock', 'duration', 'end_clock_late'))} "
+    f"FROM ({ORACLES['model_run_report']})"
+)
+ORACLES["timeline_json"] = ORACLES["run_timeline"]
+ORACLES["import_csv"] = f"""{WITH} SELECT 'o' AS owner, 'r, with a comma' AS repo, strftime(record_date, '%Y%m%d') AS version_id, line_no, record_date, {T.format('ts')} AS ts,
+    command, node_path, info, 'say "' || node_path || '", ' || command AS raw FROM slog WHERE {TASK}"""
+ORACLES["resolve_version"] = f"""{_HEADS},
+    fl AS (SELECT repo_id, record_date AS version_day, min(line_no) AS seen_at, arg_min(node_path, line_no) AS head_line FROM v GROUP BY ALL),
+    k AS (SELECT repo_id, head_line, arg_min(version_day, (seen_at, version_day)) AS version_day, min(seen_at) AS met FROM fl WHERE seen_at % 3 < 2 GROUP BY ALL),
+    n AS (SELECT *, row_number() OVER (PARTITION BY repo_id, version_day ORDER BY met, head_line) AS version_seq FROM k)
+    SELECT f.repo_id, f.head_line, f.seen_at, strftime(n.version_day, '%Y%m%d') || CASE WHEN version_seq < 10 THEN '0' ELSE '' END || version_seq AS version_id,
+           n.version_day, coalesce(n.version_seq, 0) AS version_seq FROM fl f LEFT JOIN n ON n.repo_id = f.repo_id AND n.head_line = f.head_line"""

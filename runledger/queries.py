@@ -15,6 +15,7 @@ from . import streaming
 from .functions.clock import format_clock
 from .functions.predicate import in_date_range
 from .operators import daily, nodes, reports, runs, versions
+from .schema import LOG_SCHEMA
 from .sources import deltas, grammar, ingest, lines, sinks, zones
 from .sources.loads import RecordStore
 from .sources.storage import shared_folder
@@ -249,14 +250,18 @@ def parse_sms(spark, sf_dir):
     return _texts(grammar.parse_sms(grammar.keep_records(_lines(spark, sf_dir))).drop("file_path", "value"))
 
 
-def parse_ecflow(spark, sf_dir):
+def _ecflow_lines(spark, sf_dir):
     log = tasks(spark, sf_dir)
     value = F.concat(
         F.lit("LOG:["), _clock_text(), F.lit("]"),
         F.when(F.col("line_no") % 5 == 0, F.concat(F.lit(" chd:complete "), F.col("node_path")))
         .otherwise(F.concat(F.lit("  "), F.col("command"), F.lit(": "), F.col("node_path"), F.coalesce(F.concat(F.lit(" "), F.col("info")), F.lit("")))),
     )
-    return _texts(grammar.parse_ecflow(log.select("line_no", value.alias("value"))).drop("value"))
+    return log.select("line_no", value.alias("value"))
+
+
+def parse_ecflow(spark, sf_dir):
+    return _texts(grammar.parse_ecflow(_ecflow_lines(spark, sf_dir)).drop("value"))
 
 
 def pre_filter(spark, sf_dir):
@@ -447,6 +452,57 @@ def scan_sorted(spark, sf_dir):
     return sinks.scan_sorted(spark, path, "^[0-7].*-659[0-9a-f]{5}$")
 
 
+#: Nodes whose paths are known from how the log is rendered.
+SOME = ("/suite0/fam0/t3", "/suite0/fam0/t7", "/suite1/fam1/t12", "/suite2/fam2/t21")
+
+
+def situations_clipped(spark, sf_dir):
+    return _texts(runs.situations(tasks(spark, sf_dir), START, "2024-01-15", clip_to_stop=True, node_paths=SOME))
+
+
+def _fresh(spark: SparkSession, name: str) -> str:
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def line_numbers(spark, sf_dir):
+    found = ingest.with_line_no(ingest.read_lines(spark, f"{_Logs(spark, sf_dir).top}/written"))
+    return found.select(F.regexp_extract("file_path", "file(?:=|%3D)([^/]*)/", 1).alias("file"), "line_no", "value")
+
+
+def read_ecflow(spark, sf_dir):
+    path = _fresh(spark, "ecflow")
+    _ecflow_lines(spark, sf_dir).select("value").write.text(path)
+    return _texts(ingest.read_ecflow_logs(spark, path).drop("file_path", "value"))
+
+
+def report_csv(spark, sf_dir):
+    path = _fresh(spark, "report")
+    sinks.write_report_csv(model_run_report(spark, sf_dir), path)
+    return spark.read.option("header", True).csv(path)
+
+
+def timeline_json(spark, sf_dir):
+    path = _fresh(spark, "timeline")
+    sinks.export_timeline_json(run_timeline(spark, sf_dir), path)
+    schema = "run_date date, node_path string, start string, end string, class string"
+    return spark.read.schema(schema).json(path)
+
+
+def import_csv(spark, sf_dir):
+    path = _fresh(spark, "records")
+    log = tasks(spark, sf_dir).withColumns({"owner": F.lit("o"), "repo": F.lit("r, with a comma"), "version_id": F.date_format("record_date", "yyyyMMdd")})
+    log = log.withColumns({"file_path": F.lit("a.log"), "record_type": F.lit("LOG"), "raw": F.concat(F.lit('say "'), "node_path", F.lit('", '), "command")})
+    log.withColumn("ts", _shown("ts")).select(*LOG_SCHEMA.fieldNames()).write.option("header", True).option("escape", '"').csv(path)
+    return _texts(ingest.import_records_csv(spark, path).drop("file_path", "record_type"))
+
+
+def resolve_version(spark, sf_dir):
+    log = _versioned(spark, sf_dir)
+    files = log.groupBy("repo_id", F.col("record_date").alias("day")).agg(F.min_by("node_path", "line_no").alias("head_line"), F.min("line_no").alias("seen_at"))
+    known = versions.register_versions(files.filter("seen_at % 3 < 2").withColumn("version_day", F.col("day")).select("repo_id", "head_line", "version_day", "seen_at"))
+    return versions.resolve_version(files.select("repo_id", "head_line", "seen_at"), known).fillna(0, ["version_seq"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -456,6 +512,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         family_situation_daily, run_timeline, node_tree, node_types, node_exists, parse_sms, parse_ecflow, pre_filter, log_file_info,
         register_versions, incremental_rows, resolve_repo, upsert_dim, export_keyed, scan_by_key, records_as_json,
         stream_run_windows, stream_situations, load_resumes, load_days, stream_tail, stream_machine, stream_fold,
-        node_tree_nested, maintained_means, scan_sorted,
+        node_tree_nested, maintained_means, scan_sorted, situations_clipped, line_numbers, read_ecflow, report_csv,
+        timeline_json, import_csv, resolve_version,
     )
 }

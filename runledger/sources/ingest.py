@@ -118,4 +118,5 @@ def _store(spark: SparkSession, out: str):
 
 
 def import_records_csv(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(LOG_SCHEMA).csv(path, header=True)
+    """Records with a header; fields may be quoted, a quote within being doubled."""
+    return spark.read.schema(LOG_SCHEMA).csv(path, header=True, escape='"')

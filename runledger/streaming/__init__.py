@@ -1,7 +1,8 @@
 """Streaming forms of the load and of the run windows.
 
 Spark's file source reads new files; lines added to a file that it has read already are not
-seen. These streams serve rolled files; a growing file goes through ``incremental_rows``.
+seen. These streams serve rolled files; :func:`runledger.sources.lines.tail` follows growing ones. A batch of
+:func:`stream_situations` reads all records of the nodes that it touches; :mod:`.machine` keeps their state instead.
 """
 
 from __future__ import annotations
@@ -26,13 +27,14 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def append_new(batch: DataFrame, out: str, keys: tuple[str, ...] = KEYS) -> None:
-    """Rows of a batch that the table lacks. Only the batch's days of the table are read."""
+    """Rows of a batch that the table lacks, null keys being equal. Only the batch's days of the table are read."""
     spark = batch.sparkSession
     rows = batch.dropDuplicates(list(keys))
     if _exists(spark, out):
         days = rows.select("record_date").distinct()
         stored = spark.read.schema(batch.schema).parquet(out).join(F.broadcast(days) if days.count() <= 10_000 else days, "record_date", "left_semi")
-        rows = rows.join(stored.select(*keys), list(keys), "left_anti")
+        there = stored.select(*[F.col(k).alias(f"_{k}") for k in keys])
+        rows = rows.join(there, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys], "left_anti")
     rows.write.mode("append").partitionBy("record_date").parquet(out)
 
 
