@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources import storage
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -43,12 +43,12 @@ def partitions(spark: SparkSession) -> int:
 def shared_folder(spark: SparkSession) -> str:
     """The folder that all executors share, as ``spark.checkpoint.dir`` names it.
 
-    Only a session without that setting (tests in one process) gets a temporary one.
+    Only a session without that setting whose executors are threads of the driver (tests) gets a temporary one; another raises.
     """
-    sc, named = spark.sparkContext, spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="runledger-"))
-    return (named or sc._jsc.sc().getCheckpointDir().get()).rstrip("/")
+        sc.setCheckpointDir(storage.shared_folder(spark))
+    return (spark.conf.get("spark.checkpoint.dir", None) or sc._jsc.sc().getCheckpointDir().get()).rstrip("/")
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
