@@ -36,7 +36,7 @@ from .common import checkpointed, components, table
 
 COSINE = 0.9
 BLOCKS = 8
-TILE_ROWS, SAMPLE = 20_000, 8192
+TILE_ROWS, SAMPLE = 60_000, 8192
 #: Splits of a tree between tasks at most; beyond, tiles are dealt into chunks. Vectors of a leaf within a task.
 DEPTH, LEAF = 10, 64
 #: Candidates that are verified at once.
