@@ -236,6 +236,9 @@ class TailReader(DataSourceStreamReader):
             byte, line = self._advance(path, size)
             if byte:
                 out[path] = {"byte": byte, "line": line}
+        for path, marks in self.marks.items():  # a file that has gone for a while has still been read
+            if path not in out and marks[-1][0]:
+                out[path] = {"byte": marks[-1][0], "line": marks[-1][1]}
         return out
 
     def partitions(self, start: dict, end: dict) -> list[InputPartition]:

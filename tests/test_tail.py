@@ -79,3 +79,17 @@ def test_a_line_longer_than_a_read(tmp_path, monkeypatch):
     reader = lines.TailReader({"path": str(tmp_path)})
     rows = [r["value"] for p in reader.partitions({}, reader.latestOffset()) for b in reader.read(p) for r in b.to_pylist()]
     assert rows == ["short", "y" * 1000, "end"]
+
+
+def test_a_file_that_goes_and_comes_back_is_not_read_again(tmp_path):
+    f = tmp_path / "a.log"
+    f.write_bytes(b"one\ntwo\n")
+    reader = lines.TailReader({"path": str(tmp_path)})
+    first = reader.latestOffset()
+    f.rename(tmp_path / ".away")
+    assert reader.latestOffset() == first and reader.partitions(first, reader.latestOffset()) == []
+    (tmp_path / ".away").rename(f)
+    with f.open("ab") as more:
+        more.write(b"three\n")
+    rows = [r for p in reader.partitions(first, reader.latestOffset()) for b in reader.read(p) for r in b.to_pylist()]
+    assert [(r["line_no"], r["value"]) for r in rows] == [(2, "three")]
