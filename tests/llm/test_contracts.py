@@ -16,6 +16,8 @@ CONTRACTS = {
     8: "doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, base_failed boolean, kept boolean",
     9: "conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint",
     10: "doc_id bigint, n_shingles bigint, component_id bigint",
+    11: "doc_id bigint, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string",
+    13: "conv_id bigint, gaps bigint, blank bigint, duplicate bigint, truncated bigint, illegal bigint, cost bigint, audit string, repaired_sha256 string",
 }
 
 
@@ -27,7 +29,7 @@ def test_contract(spark, number):
     for column in CONTRACTS[number].split(", "):
         c, kind = column.split(" ")
         assert types[c] == kind
-    key = "vec_id" if number == 1 else "page_id" if number == 7 else "conv_id" if number == 9 else "doc_id"
+    key = "vec_id" if number == 1 else "page_id" if number == 7 else "conv_id" if number in (9, 13) else "doc_id"
     table = {"vec_id": "embeddings", "page_id": "pages", "conv_id": "conversations", "doc_id": "documents"}[key]
     ids = {r[0] for r in spark.read.parquet(f"{SF}/{table}.parquet").select(key).distinct().collect()}
     got = [r[0] for r in found.select(key).collect()]
@@ -35,6 +37,11 @@ def test_contract(spark, number):
     assert number == 5 or len(got) == len(set(got))
 
 
+def test_spelling_contract(spark):
+    found = registry.QUERIES["op12_spelling_groups"](spark, SF)
+    assert dict(found.dtypes) == {"word": "string", "form": "string", "root": "string", "n": "bigint", "n_near": "bigint", "form_n": "bigint"}
+
+
 def test_rollup_equals_a_plain_count(spark):
     from collections import Counter
 
