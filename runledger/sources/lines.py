@@ -29,6 +29,8 @@ _ARROW = pa.schema([("file_path", pa.string()), ("byte", pa.int64()), ("line_no"
 READ_BYTES, TASK_BYTES = 8 << 20, 32 << 20
 #: Bytes of a range that batch jobs read as one, about.
 BLOCK_BYTES = 16 << 20
+#: Bytes that a task of a batch job reads at least, where ranges are smaller.
+RANGES_BYTES = 4 << 20
 
 
 def file_system(path: str) -> tuple[files.FileSystem, str]:
@@ -130,6 +132,11 @@ def _line_start(f, at: int, start: int, stop: int) -> int:
     return stop
 
 
+def range_tasks(spark: SparkSession, ranges: int, size: int) -> int:
+    """Tasks for so many ranges of so many bytes in all: small ranges share one, but no fewer run than can at once."""
+    return max(1, min(ranges, max(-(-size // RANGES_BYTES), spark.sparkContext.defaultParallelism), 100_000))
+
+
 def plan_ranges(spark: SparkSession, wanted: dict[str, tuple[int, int, int]], block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Ranges of whole lines with their numbers: ``file_path, first_byte, end_byte, first_line, lines``.
 
@@ -159,8 +166,8 @@ def plan_ranges(spark: SparkSession, wanted: dict[str, tuple[int, int, int]], bl
     rows = [(f, a, stop, line) for f, (a, line, stop) in wanted.items() if a < stop]
     files_ = spark.createDataFrame(rows, "file_path string, start long, stop long, line long")
     blocks = files_.withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(stop - start - 1) div {block_bytes}"))))
-    tasks = sum(-(-(stop - a) // block_bytes) for _, a, stop, _ in rows)
-    measured = blocks.repartition(max(1, min(tasks, 100_000))).mapInArrow(measure, RANGE_SCHEMA).filter("first_byte < end_byte")
+    tasks = range_tasks(spark, sum(-(-(stop - a) // block_bytes) for _, a, stop, _ in rows), sum(stop - a for _, a, stop, _ in rows))
+    measured = blocks.repartition(tasks).mapInArrow(measure, RANGE_SCHEMA).filter("first_byte < end_byte")
     before = Window.partitionBy("file_path").orderBy("first_byte").rowsBetween(Window.unboundedPreceding, -1)
     return measured.withColumn("first_line", F.col("first_line") + F.coalesce(F.sum("lines").over(before), F.lit(0)))
 

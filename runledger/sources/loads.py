@@ -27,6 +27,7 @@ from ..schema import LOG_SCHEMA
 from . import lines, storage
 from .grammar import keep_records, parse_sms
 from .ingest import in_range, with_log_date
+from .zones import zone_tasks
 
 ORDER = ["log_date", "node_path", "ts"]
 #: Bytes of log for each task that a day's nodes are dealt to, were all of one day.
@@ -94,7 +95,7 @@ class RecordStore:
 
     def _records_of_zones(self, zones: DataFrame, owner: str, repo: str, version_id: str) -> DataFrame:
         """Undated lines ahead of a zone's first dated one are of the day that the zone map has for its start."""
-        parsed = parse_sms(lines.read_ranges(zones, zones.count()))
+        parsed = parse_sms(lines.read_ranges(zones, zone_tasks(zones)))
         starts = zones.select("file_path", F.col("first_byte").alias("block"), "start_day")
         inside = Window.partitionBy("file_path", "block").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
         dated = parsed.join(starts, ["file_path", "block"]).withColumn("log_date", F.coalesce(F.last("record_date", True).over(inside), "start_day"))
@@ -123,8 +124,9 @@ class RecordStore:
         lines.plan_ranges(self.spark, wanted, block_bytes).write.parquet(planned)
         ranges = self.spark.read.schema(lines.RANGE_SCHEMA).parquet(planned)
         counts = {r.file_path: r.n for r in ranges.groupBy("file_path").agg(F.sum("lines").alias("n")).collect()}  # a row a file
-        tasks = sum(-(-(stop - a) // block_bytes) for a, _, stop in wanted.values())
-        attempt = self._stage(self._records(ranges, owner, repo, version_id, days, tasks), sum(stop - a for a, _, stop in wanted.values()))
+        size = sum(stop - a for a, _, stop in wanted.values())
+        tasks = lines.range_tasks(self.spark, sum(-(-(stop - a) // block_bytes) for a, _, stop in wanted.values()), size)
+        attempt = self._stage(self._records(ranges, owner, repo, version_id, days, tasks), size)
         staged = self._attempt(attempt)
         last = {r.file_path: r.d for r in staged.groupBy("file_path").agg(F.max_by("log_date", "line_no").alias("d")).collect()}
         files = {}
@@ -145,7 +147,8 @@ class RecordStore:
         sizes = lines.list_files(path)
         if zones is None:
             ranges = lines.plan_ranges(self.spark, {f: (0, 0, size) for f, size in sizes.items()}, block_bytes)
-            records = self._records(ranges, owner, repo, version_id, dict.fromkeys(sizes), sum(-(-s // block_bytes) for s in sizes.values()))
+            tasks = lines.range_tasks(self.spark, sum(-(-s // block_bytes) for s in sizes.values()), sum(sizes.values()))
+            records = self._records(ranges, owner, repo, version_id, dict.fromkeys(sizes), tasks)
         else:
             mine = zones.filter(F.col("file_path").isin(*sizes) & (F.col("first_day") < as_day(end)) & (F.col("last_day") >= as_day(first)))
             records = self._records_of_zones(mine, owner, repo, version_id)

@@ -170,3 +170,38 @@ def test_planned_ranges_cover_all_lines_once(spark, tmp_path):
             ranges = lines.plan_ranges(spark, {str(f): (0, 0, f.stat().st_size)}, block)
             got = sorted((r.line_no, r.value) for r in lines.read_ranges(ranges, 3).collect())
             assert got == list(enumerate(rows + ["last"]))
+
+
+def test_small_zones_share_tasks(spark, tmp_path):
+    """Thousands of zones do not make thousands of tasks, in the making of the map or in a load by it; days are as a plain reading has them."""
+    log, rows = tmp_path / "a.log", sms_lines(7, 3000)
+    write(log, rows)
+
+    def stages(name, run):
+        spark.sparkContext.setJobGroup(name, name)
+        try:
+            out = run()
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        tracker = spark.sparkContext.statusTracker()
+        found = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup(name) for s in tracker.getJobInfo(j).stageIds]
+        return out, max(s.numTasks for s in found if s is not None)
+
+    made, most = stages("map", lambda: zones.zone_map(spark, str(log), grammar.parse_sms, zone_bytes=400).collect())
+    assert len(made) > 250 and most <= 16
+    found = spark.createDataFrame(made, "file_path string, first_byte long, end_byte long, first_line long, lines long, first_ts timestamp_ntz, last_ts timestamp_ntz, first_day date, last_day date, start_day date")
+    store = loads.RecordStore(spark, str(tmp_path / "table"))
+    _, most = stages("load", lambda: store.load_days(str(log), "me", "r", "v", "2024-01-02", "2024-01-09", found))
+    assert most <= 16
+    want = expected(rows)
+    assert content(store.read()) == [r for r in want if "2024-01-02" <= r[2] < "2024-01-09"]
+    days, day = [], None
+    for r in rows:
+        day = date_of(r) or day
+        days.append(day)
+    days = [d or DAYS[0] for d in days]
+    made.sort(key=lambda z: z.first_byte)
+    assert [z.first_byte for z in made[1:]] + [log.stat().st_size] == [z.end_byte for z in made]
+    for z in made:
+        of = days[z.first_line : z.first_line + z.lines]
+        assert (z.start_day, z.first_day, z.last_day) == (of[0], min(of), max(of))
