@@ -78,3 +78,26 @@ def test_idle_windows_are_closed_and_taken_up_again(spark, tmp_path):
     got = machine.settled(spark, table, updates, *SPAN).select(COLUMNS)
     want = runs.situations(records, *SPAN).select(COLUMNS)
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_windows_share_calls(spark, tmp_path):
+    """The windows of a day go to Python in groups, whatever their number; records without a time or a line make their node known."""
+    made = spark.range(12_000).select(
+        "id", F.concat(F.lit("/s/t"), (F.col("id") % 6000).cast("string")).alias("node_path"),
+        F.expr("timestamp_ntz'2024-01-03 00:00:00' + make_dt_interval(0, 0, 0, id)").alias("ts"),
+    )
+    records = made.select(
+        F.col("id").alias("line_no"), F.col("ts").cast("date").alias("record_date"), "ts", "node_path",
+        F.when(F.col("id") < 6000, "submitted").otherwise("active").alias("command"), F.lit(None).cast("string").alias("info"),
+    )
+    odd = records.limit(2).withColumns({"node_path": F.lit("/odd"), "ts": F.lit(None).cast("timestamp_ntz"), "record_date": F.lit(None).cast("date")})
+    source, table, updates, mark = (str(tmp_path / x) for x in ("in", "table", "updates", "mark"))
+    records.unionByName(odd).write.parquet(source)
+    for q in machine.stream_machine(spark.readStream.schema(records.schema).parquet(source), table, updates, mark):
+        q.awaitTermination()
+        if q.lastProgress["stateOperators"]:
+            rows = sum(p["stateOperators"][0]["numRowsUpdated"] for p in q.recentProgress)
+            assert rows <= 6 * machine.GROUPS  # a group's state and timer, on two days and on none
+    got = machine.settled(spark, table, updates, *SPAN).select(COLUMNS)
+    want = runs.situations(records.unionByName(odd), *SPAN).select(COLUMNS)
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty() and got.filter("node_path = '/odd'").count() == 11
