@@ -42,6 +42,8 @@ def scan_by_key(keyed: DataFrame, pattern: str) -> DataFrame:
 
 #: Rows of a file of the sorted store, about.
 FILE_ROWS = 1_000_000
+#: Rows of a task that writes the sorted store, at least, where its files are smaller.
+TASK_ROWS = 100_000
 _SPECIAL = set(".^$*+?{}[]\\|()")
 
 
@@ -51,10 +53,13 @@ def write_sorted_keys(keyed: DataFrame, path: str, file_rows: int = FILE_ROWS) -
     What each file begins and ends with is kept beside them, so that a scan opens the files of its range alone.
     """
     spark = keyed.sparkSession
-    files = keyed.count() // file_rows + 1
+    rows = keyed.count()
+    files = rows // file_rows + 1
+    # A task of small files writes many, one after the other: each range costs the driver samples, sizes and a result.
+    tasks = min(files, rows // TASK_ROWS + 1)
     for order, column in (("by_key", F.col("row_key")), ("by_time", _time_first(F.col("row_key")))):
-        laid = keyed.withColumn("sort_key", column).repartitionByRange(files, "sort_key").sortWithinPartitions("sort_key")
-        laid.write.mode("overwrite").parquet(f"{path}/{order}")
+        laid = keyed.withColumn("sort_key", column).repartitionByRange(tasks, "sort_key").sortWithinPartitions("sort_key")
+        laid.write.mode("overwrite").option("maxRecordsPerFile", file_rows if tasks < files else 0).parquet(f"{path}/{order}")
         named = spark.read.parquet(f"{path}/{order}").groupBy(F.input_file_name().alias("file"))
         named.agg(F.min("sort_key").alias("low"), F.max("sort_key").alias("high"), F.count("*").alias("n")).write.mode("overwrite").parquet(f"{path}/{order}_files")
 

@@ -118,3 +118,23 @@ def test_maintained_means_equal_a_new_report(spark, tmp_path, monkeypatch):
         assert got == sorted(map(tuple, reports.time_period_summary(after).collect()))
         before = after
     assert len(store._last()["attempts"]) < 3
+
+
+def test_a_task_writes_many_small_files(spark, tmp_path):
+    """Thousands of files are not as many ranges, each of which would cost the driver samples and results."""
+    keyed = spark.range(20_000).select(sinks.row_key(F.lit("v"), F.col("id"), F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, id % 50000, 0)")).alias("row_key"), F.col("id").alias("line_no"))
+    spark.sparkContext.setJobGroup("sorted", "sorted")
+    try:
+        sinks.write_sorted_keys(keyed, str(tmp_path / "keyed"), file_rows=50)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = spark.sparkContext.statusTracker()
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("sorted") for s in tracker.getJobInfo(j).stageIds]
+    assert max(s.numTasks for s in stages if s is not None) <= 64
+    for order in ("by_key", "by_time"):
+        ends = spark.read.parquet(str(tmp_path / f"keyed/{order}_files")).orderBy("low").collect()
+        assert len(ends) == 400 and max(e.n for e in ends) <= 50 and sum(e.n for e in ends) == 20_000
+        assert all(a.high <= b.low for a, b in zip(ends, ends[1:], strict=False))
+    got = sinks.scan_sorted(spark, str(tmp_path / "keyed"), "^[0-7].*-6592[0-9a-f]{4}$")
+    want = sinks.scan_by_key(keyed, "^[0-7].*-6592[0-9a-f]{4}$")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and want.count() > 100
