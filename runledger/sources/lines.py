@@ -27,6 +27,8 @@ RANGE_SCHEMA = "file_path string, first_byte long, end_byte long, first_line lon
 _ARROW = pa.schema([("file_path", pa.string()), ("byte", pa.int64()), ("line_no", pa.int64()), ("value", pa.string())])
 #: Bytes that are read at once, and bytes of one task of a stream's batch, about.
 READ_BYTES, TASK_BYTES = 8 << 20, 32 << 20
+#: Bytes that are taken apart into lines at once; as Python's objects they take some ten times as much.
+LINE_BYTES = 1 << 20
 #: Bytes of a range that batch jobs read as one, about.
 BLOCK_BYTES = 16 << 20
 #: Bytes that a task of a batch job reads at least, where ranges are smaller.
@@ -75,7 +77,7 @@ def read_range(path: str, start: int, stop: int, line_no: int) -> Iterator[pa.Re
         f.seek(start)
         at, rest = start, b""
         while at + len(rest) < stop:
-            data = f.read(min(READ_BYTES, stop - at - len(rest)))
+            data = f.read(min(max(LINE_BYTES, len(rest)), stop - at - len(rest)))  # a long line in ever larger pieces
             if not data:
                 raise OSError(f"{path} ends before byte {stop}")
             rest += data

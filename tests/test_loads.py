@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+import tracemalloc
 
 import pytest
 from pyspark.sql import functions as F
@@ -205,3 +206,25 @@ def test_small_zones_share_tasks(spark, tmp_path):
     for z in made:
         of = days[z.first_line : z.first_line + z.lines]
         assert (z.start_day, z.first_day, z.last_day) == (of[0], min(of), max(of))
+
+
+def test_reading_a_range_holds_a_part_of_it(tmp_path):
+    """What a task holds does not grow with its range, and lines longer than a part come whole."""
+    log = tmp_path / "a.log"
+    rows = [f"# LOG:[1:2:{k % 60} 3.1.2024] complete:/suite0/fam{k % 9}/t{k}" for k in range(350_000)]
+    rows[1000] = "x" * (3 << 20)
+    write(log, rows)
+    want = list(rows)
+    n = at = 0
+    tracemalloc.start()
+    try:
+        for batch in lines.read_range(str(log), 0, log.stat().st_size, 5):
+            assert batch.column("line_no")[0].as_py() == n + 5 and batch.column("byte")[0].as_py() == at
+            at += sum(len(v) + 1 for v in want[n : n + batch.num_rows])
+            n += batch.num_rows
+            last = batch.column("value")[-1].as_py()
+            assert last == want[n - 1]
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert n == len(want) and at == log.stat().st_size and most < 24 << 20
